@@ -118,3 +118,17 @@ def col(df: DataFrame, name: str) -> Column:
 def unit(c: Column) -> Column:
     """A 64-bit hash as a number in [0, 1)."""
     return F.shiftrightunsigned(c, 11).cast("double") * F.lit(2.0**-53)
+
+
+def small_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", limit: int = 50_000, salts: int = 32) -> DataFrame:
+    """Join a large side with a per-key table whose size is counted first.
+
+    ``small`` (staged, one row per key) is broadcast when it has at most ``limit`` rows;
+    beyond that it is repeated over ``salts`` and joined on the keys plus a salt, so that a
+    key with a third of all rows meets in ``salts`` tasks.
+    """
+    if small.limit(limit + 1).count() <= limit:
+        return big.join(F.broadcast(small), keys, how)
+    salted = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = big.withColumn("__salt", F.pmod(F.xxhash64(*[c for c in big.columns]), F.lit(salts)).cast("int"))
+    return rows.join(salted, [*keys, "__salt"], how).drop("__salt")

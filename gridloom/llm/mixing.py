@@ -11,7 +11,7 @@ DataFrame functions only.  Three steps:
 3. Tree: every source's line of draws is cut into blocks, the number of blocks being its
    exact quota of ``blocks``.  A node of the tree holds a set of blocks and sends a uniformly
    random half of it left (which draws the vector of per-source counts from the multivariate
-   hypergeometric law); ``log2(shards)`` levels give the shards, whose rows are then
+   hypergeometric law); ``levels`` levels give ``2**levels`` shards, whose rows are then
    shuffled by a local hash.
 
 Cumulated sizes inside a source use ``sqrt(N)`` hash cells per source, so a hot source is
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, col, fresh, stage, table, unit
+from .common import WORD, col, fresh, small_join, stage, table, unit
 
 STRATUM = ["no_source", "source"]
 
@@ -67,16 +67,16 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3
     ahead = sums.select(*STRATUM, "cell", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("words_ahead"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_ahead"))
     inside = W.partitionBy(*STRATUM, "cell").orderBy("key", "id", "h", "size")
     line = keyed.withColumn("end", F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0))).withColumn("pos", F.row_number().over(inside))
-    line = line.join(ahead, [*STRATUM, "cell"]).join(goal, STRATUM)
+    line = small_join(line.join(ahead, [*STRATUM, "cell"]), goal, STRATUM)
     line = line.select("id", *STRATUM, "size", "key", "source_size", "target", "passes", "rest", (F.col("words_ahead") + F.col("end")).alias("end"), (F.col("rows_ahead") + F.col("pos")).alias("pos"))
     line = stage(line, "mix-line")
     inner = F.col("end") <= F.col("rest")
     got = line.groupBy(*STRATUM).agg(F.coalesce(F.max(F.when(inner, F.col("end"))), F.lit(0)).alias("got"))
-    gaps = goal.join(got, STRATUM).select(*STRATUM, (F.col("rest") - F.col("got")).alias("gap"))
+    gaps = stage(goal.join(got, STRATUM).select(*STRATUM, (F.col("rest") - F.col("got")).alias("gap")), "mix-gaps")
     off = F.abs(F.col("gap") - F.col("size"))
-    closing = line.join(gaps, STRATUM).where(~inner & (off < F.col("gap"))).groupBy(*STRATUM).agg(F.min(F.struct(off.alias("off"), "pos")).alias("best"))
-    closing = closing.select(*STRATUM, F.col("best.pos").alias("closing"))
-    out = line.join(closing, STRATUM, "left")
+    closing = small_join(line, gaps, STRATUM).where(~inner & (off < F.col("gap"))).groupBy(*STRATUM).agg(F.min(F.struct(off.alias("off"), "pos")).alias("best"))
+    closing = stage(closing.select(*STRATUM, F.col("best.pos").alias("closing")), "mix-closing")
+    out = small_join(line, closing, STRATUM, "left")
     extra = inner | F.coalesce(F.col("pos") == F.col("closing"), F.lit(False))
     copies = F.when(F.col("size") > 0, F.col("passes") + extra.cast("long")).otherwise(F.lit(0).cast("long"))
     return out.select("id", *STRATUM, "size", "key", "source_size", "target", copies.alias("copies"), (F.col("end") - F.col("size")).alias("start"))
@@ -93,16 +93,17 @@ def split_tree(blocks: DataFrame, levels: int, seed: int) -> DataFrame:
 
 
 def draws(planned: DataFrame, levels: int = 5, blocks_per_shard: int = 64, seed: int = 104729) -> DataFrame:
-    """One row per drawn copy (and one with a null ``copy`` for a document never drawn),
-    with its shard and the key that orders rows inside the shard."""
+    """One row per drawn copy, with its shard and the key that orders rows inside the shard."""
     blocks = blocks_per_shard << levels
-    drawn = planned.withColumn("copy", F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("copies")))))
+    drawn = planned.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     goal = planned.groupBy(*STRATUM).agg(F.max("target").alias("target"))
     quota = goal.select(*STRATUM, F.greatest(F.lit(1), F.rint(F.col("target") * blocks / F.greatest(F.sum("target").over(W.partitionBy()), F.lit(1.0)))).cast("long").alias("quota"))
+    quota = stage(quota, "mix-quota")
     place = F.floor(((F.col("copy") - 1) * F.col("source_size") + F.col("start")) * F.col("quota") / F.greatest(F.col("target"), F.lit(1.0)))
-    drawn = drawn.join(quota, STRATUM).withColumn("block", F.least(place, F.col("quota") - 1))
+    drawn = small_join(drawn, quota, STRATUM).withColumn("block", F.least(place, F.col("quota") - 1))
     tree = split_tree(quota.select(*STRATUM, F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1)).alias("block")), levels, seed)
-    return drawn.join(tree, [*STRATUM, "block"], "left").withColumn("order_key", F.xxhash64(F.lit(seed + 1), "shard", "key", "copy"))
+    drawn = small_join(drawn, stage(tree, "mix-tree"), [*STRATUM, "block"])
+    return drawn.withColumn("order_key", F.xxhash64(F.lit(seed + 1), "shard", "key", "copy"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 7919, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -112,19 +113,21 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.
     identifier and a text hash, so a hot source stays spread over tasks.
     """
     planned = stage(plan(docs, weights, cap, seed, id_col, text_col, source_col), "mix-plan")
-    got = draws(planned).where(F.col("copy").isNotNull())
-    rid, h, k, s, o, c, rep, rank = fresh(docs, "mix_id", "mix_hash", "mix_key", "mix_shard", "mix_order", "mix_copies", "mix_rep", "mix_rank")
+    got = draws(planned)
+    rid, h, k, s, o, rep, rank = fresh(docs, "mix_id", "mix_hash", "mix_key", "mix_shard", "mix_order", "mix_rep", "mix_rank")
     text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
     left = docs.withColumn(k, F.xxhash64(F.lit(seed), col(docs, id_col), F.xxhash64(text)))
     left = left.withColumn(rep, F.row_number().over(W.partitionBy(id_col, k).orderBy(F.lit(0))))
     ranks = W.partitionBy("id", "key", "copy").orderBy("start", "block")
     right = got.select("id", "key", "copy", F.row_number().over(ranks).alias(rank), F.col("shard").alias(s), F.col("order_key").alias(o)).select(F.col("id").alias(rid), F.col("key").alias(h), rank, s, o)
     joined = left.join(right, col(docs, id_col).eqNullSafe(F.col(rid)) & (F.col(k) == F.col(h)) & (F.col(rep) == F.col(rank)))
-    return joined.repartition(F.col(s)).sortWithinPartitions(s, o).select(*[col(docs, x) for x in docs.columns])
+    return joined.sortWithinPartitions(s, o).select(*[col(docs, x) for x in docs.columns])
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = stage(plan(table(spark, sf_dir, "documents")), "mix-plan")
-    rows = draws(planned).groupBy("id", *STRATUM, "key", "start", "size", "source_size", "target")
-    out = rows.agg(F.sum(F.when(F.col("copy").isNotNull(), F.col("size")).otherwise(F.lit(0))).alias("taken"), F.sort_array(F.collect_list("shard")).alias("shards"))
+    drawn = draws(planned).select("id", "key", "start", "size", "source_size", "target", F.col("size").alias("words"), "shard")
+    never = planned.where("copies = 0").select("id", "key", "start", "size", "source_size", "target", F.lit(0).cast("long").alias("words"), F.lit(None).cast("int").alias("shard"))
+    rows = drawn.unionByName(never).groupBy("id", "key", "start", "size", "source_size", "target")
+    out = rows.agg(F.sum("words").alias("taken"), F.sort_array(F.collect_list("shard")).alias("shards"))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "shards")
