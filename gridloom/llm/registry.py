@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, mixing, packing, sharding, token_files, topk, warc
 
 QUERIES = {
+    "op1_topk": topk.op1_topk,
+    "op3_warc": warc.op3_warc,
     "op4_sharding": sharding.op4_sharding,
     "op5_mixing": mixing.op5_mixing,
+    "op8_token_files": token_files.op8_token_files,
+    "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLES = {
+    "op1_topk": topk.ORACLE_SQL,
+    "op3_warc": warc.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
 }
