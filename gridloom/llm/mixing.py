@@ -6,8 +6,8 @@ DataFrame functions only.  Three steps:
    the excess goes to the others by weight.  That fixed point is ``min(cap*size, weight*L)``
    with one level ``L``, found from sums over the sources in order of ``cap*size/weight``.
 2. Draws: documents of a source are permuted by a seeded hash.  The quota takes
-   ``floor(quota/size)`` whole passes and then a prefix of the permutation; one further
-   document, the one whose size comes nearest to the gap that is left, closes the quota.
+   ``floor(quota/size)`` whole passes and then a prefix of the permutation; up to ``closers``
+   further documents, each the one whose size comes nearest to the gap left, close the quota.
 3. Tree: every source's line of draws is cut into blocks, the number of blocks being its
    exact quota of ``blocks``.  A node of the tree holds a set of blocks and sends a uniformly
    random half of it left (which draws the vector of per-source counts from the multivariate
@@ -45,7 +45,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float
     return s.select(*STRATUM, "source_size", "n_rows", "weight", F.least("ceiling", F.col("weight") * F.col("level")).alias("target"))
 
 
-def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 7919, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 7919, closers: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: id, stratum, size, source_size, target, copies, line start, key."""
     text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
     base = docs.select(
@@ -72,12 +72,20 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3
     line = stage(line, "mix-line")
     inner = F.col("end") <= F.col("rest")
     got = line.groupBy(*STRATUM).agg(F.coalesce(F.max(F.when(inner, F.col("end"))), F.lit(0)).alias("got"))
-    gaps = stage(goal.join(got, STRATUM).select(*STRATUM, (F.col("rest") - F.col("got")).alias("gap")), "mix-gaps")
+    gaps = goal.join(got, STRATUM).select(*STRATUM, (F.col("rest") - F.col("got")).alias("gap"), F.array().cast("array<long>").alias("closing"))
+    gaps = stage(gaps, "mix-gaps")
     off = F.abs(F.col("gap") - F.col("size"))
-    closing = small_join(line, gaps, STRATUM).where(~inner & (off < F.col("gap"))).groupBy(*STRATUM).agg(F.min(F.struct(off.alias("off"), "pos")).alias("best"))
-    closing = stage(closing.select(*STRATUM, F.col("best.pos").alias("closing")), "mix-closing")
-    out = small_join(line, closing, STRATUM, "left")
-    extra = inner | F.coalesce(F.col("pos") == F.col("closing"), F.lit(False))
+    for _ in range(closers):
+        open_ = small_join(line, gaps, STRATUM).where(~inner & (off < F.abs("gap")) & ~F.array_contains("closing", F.col("pos")))
+        best = open_.groupBy(*STRATUM).agg(F.min(F.struct(off.alias("off"), "pos", "size")).alias("best"))
+        gaps = gaps.join(best, STRATUM, "left").select(
+            *STRATUM,
+            (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
+            F.when(F.col("best").isNull(), F.col("closing")).otherwise(F.concat("closing", F.array("best.pos"))).alias("closing"),
+        )
+        gaps = stage(gaps, "mix-gaps")
+    out = small_join(line, gaps, STRATUM)
+    extra = inner | F.array_contains("closing", F.col("pos"))
     copies = F.when(F.col("size") > 0, F.col("passes") + extra.cast("long")).otherwise(F.lit(0).cast("long"))
     return out.select("id", *STRATUM, "size", "key", "source_size", "target", copies.alias("copies"), (F.col("end") - F.col("size")).alias("start"))
 
@@ -112,7 +120,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.
     Rows come grouped by shard and shuffled inside it.  Texts join their draws on the
     identifier and a text hash, so a hot source stays spread over tasks.
     """
-    planned = stage(plan(docs, weights, cap, seed, id_col, text_col, source_col), "mix-plan")
+    planned = stage(plan(docs, weights, cap, seed, id_col=id_col, text_col=text_col, source_col=source_col), "mix-plan")
     got = draws(planned)
     rid, h, k, s, o, rep, rank = fresh(docs, "mix_id", "mix_hash", "mix_key", "mix_shard", "mix_order", "mix_rep", "mix_rank")
     text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, minhash, mixing, packing, sharding, token_files, topk, toxicity, warc
+from . import exact_dedup, lm, minhash, mixing, packing, sharding, token_files, topk, toxicity, warc
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_sharding": sharding.op4_sharding,
     "op5_mixing": mixing.op5_mixing,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_lm": lm.op7_lm,
     "op8_token_files": token_files.op8_token_files,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
