@@ -7,7 +7,8 @@ DataFrame functions only.  Three steps:
    with one level ``L``, found from sums over the sources in order of ``cap*size/weight``.
 2. Draws: documents of a source are permuted by a seeded hash.  The quota takes
    ``floor(quota/size)`` whole passes and then a prefix of the permutation; up to ``closers``
-   further documents, each the one whose size comes nearest to the gap left, close the quota.
+   further documents, each the one whose size comes nearest to the gap left (only the last
+   may overshoot it), close the quota.
 3. Tree: every source's line of draws is cut into blocks, the number of blocks being its
    exact quota of ``blocks``.  A node of the tree holds a set of blocks and sends a uniformly
    random half of it left (which draws the vector of per-source counts from the multivariate
@@ -75,8 +76,9 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3
     gaps = goal.join(got, STRATUM).select(*STRATUM, (F.col("rest") - F.col("got")).alias("gap"), F.array().cast("array<long>").alias("closing"))
     gaps = stage(gaps, "mix-gaps")
     off = F.abs(F.col("gap") - F.col("size"))
-    for _ in range(closers):
-        open_ = small_join(line, gaps, STRATUM).where(~inner & (off < F.abs("gap")) & ~F.array_contains("closing", F.col("pos")))
+    for turn in range(closers):  # the last one may overshoot
+        near = off < F.abs("gap") if turn == closers - 1 else (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
+        open_ = small_join(line, gaps, STRATUM).where(~inner & near & ~F.array_contains("closing", F.col("pos")))
         best = open_.groupBy(*STRATUM).agg(F.min(F.struct(off.alias("off"), "pos", "size")).alias("best"))
         gaps = gaps.join(best, STRATUM, "left").select(
             *STRATUM,
