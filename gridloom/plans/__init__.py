@@ -1,4 +1,6 @@
 """Registered queries of the engine and their DuckDB counterparts."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import catalog, columns, composite, mosaic, robust  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
