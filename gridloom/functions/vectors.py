@@ -101,7 +101,7 @@ def packed(x: Column, kind: str, clamp: bool = True) -> Column:
     type are clamped or, without ``clamp``, fail."""
     fill, lo, hi = PACKED[kind]
     r = F.rint(x)
-    r = F.greatest(F.least(r, F.lit(float(hi))), F.lit(float(lo))) if clamp else F.when(r.between(lo, hi) | r.isNull(), r).otherwise(F.raise_error(F.lit(f"value beyond {kind}")).cast("double"))
+    r = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(float(hi))), F.lit(float(lo)))) if clamp else F.when(r.between(lo, hi) | r.isNull(), r).otherwise(F.raise_error(F.lit(f"value beyond {kind}")).cast("double"))
     return F.coalesce(r, F.lit(float(fill))).cast("long" if kind == "uint" else "int")
 
 

@@ -48,5 +48,5 @@ def rotate(df: DataFrame, vx: str = "vx", vy: str = "vy", v: str = "v", error: s
 def cell_union_edges(cells: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """Outline of a set of unit cells: the sides that belong to one cell only."""
     sides = [(0, 0, 1, 0), (1, 0, 1, 1), (0, 1, 1, 1), (0, 0, 0, 1)]
-    side = F.explode(F.array(*[F.struct(*[(F.col(c) + d).alias(n) for c, d, n in zip((x, y, x, y), s, ("ax", "ay", "bx", "by"), strict=True)]) for s in sides])).alias("s")
+    side = F.explode(F.array(*[F.struct(*[(F.col(c) + d).alias(n) for c, d, n in zip((x, y, x, y), s, ("ax", "ay", "zx", "zy"), strict=True)]) for s in sides])).alias("s")
     return cells.select(x, y).distinct().select(side).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("s.*")

@@ -140,7 +140,7 @@ def radar_rederivation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {POINTS}, q AS (SELECT k, CASE WHEN k % 13 = 0 THEN NULL ELSE x * 37.5 END AS v FROM pt)
-SELECT k, CAST(coalesce(greatest(least(round_even(v, 0), 32767), -32768), -32767) AS INTEGER) AS s, CAST(coalesce(greatest(least(round_even(v, 0), 65535), 0), 32767) AS INTEGER) AS u, CAST(coalesce(greatest(least(round_even(v, 0), 255), 0), 255) AS INTEGER) AS b,
+SELECT k, CAST(CASE WHEN v IS NULL THEN -32767 ELSE greatest(least(round_even(v, 0), 32767), -32768) END AS INTEGER) AS s, CAST(CASE WHEN v IS NULL THEN 32767 ELSE greatest(least(round_even(v, 0), 65535), 0) END AS INTEGER) AS u, CAST(CASE WHEN v IS NULL THEN 255 ELSE greatest(least(round_even(v, 0), 255), 0) END AS INTEGER) AS b,
   CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END AS flipped, CASE WHEN NOT (v > 0) THEN v END AS outside FROM q""")
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-05, SNK-06, SNK-07, FLT-15, FLT-16."""

@@ -75,7 +75,7 @@ def mean_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT DISTINCT p_size AS x, CAST(p_partkey % 30 AS INTEGER) AS y FROM part WHERE p_size < 20),
-s AS (SELECT x + a AS ax, y + b AS ay, x + c AS bx, y + d AS by FROM c, (VALUES (0, 0, 1, 0), (1, 0, 1, 1), (0, 1, 1, 1), (0, 0, 0, 1)) t(a, b, c, d)) SELECT ax, ay, bx, by FROM s GROUP BY ALL HAVING count(*) = 1""")
+s AS (SELECT x + a AS ax, y + b AS ay, x + c AS zx, y + d AS zy FROM c, (VALUES (0, 0, 1, 0), (1, 0, 1, 1), (0, 1, 1, 1), (0, 0, 0, 1)) t(a, b, c, d)) SELECT ax, ay, zx, zy FROM s GROUP BY ALL HAVING count(*) = 1""")
 def union_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEO-08: outline of a union of grid-aligned tiles."""
     c = table(spark, sf_dir, "part").where("p_size < 20").select(F.col("p_size").alias("x"), (F.col("p_partkey") % 30).cast("int").alias("y"))

@@ -27,8 +27,8 @@ def test_constant_speed():
 
 
 def test_amplitude_and_phase():
-    got = fit.fit_series(*series(noise=0.5), 2017.0, (2015, 2018))
-    assert abs(got["amp"] - 50) < 1 and abs(got["phase"] - 120) < 2 and got["pairs"] == 200
+    got = fit.fit_series(*series(noise=8.0), 2017.0, (2015, 2018))
+    assert abs(got["amp"] - 50) < 3 and abs(got["phase"] - 120) < 5 and got["pairs"] >= 198
 
 
 def test_trend():
@@ -37,10 +37,10 @@ def test_trend():
 
 
 def test_outliers_are_dropped_and_few_points_give_nothing():
-    s, e, v, r = series(noise=0.5)
+    s, e, v, r = series(noise=8.0)
     v[::20] += 5000
     got = fit.fit_series(s, e, v, r, 2017.0, (2015, 2018))
-    assert got["pairs"] <= 190 and abs(got["amp"] - 50) < 2
+    assert got["pairs"] <= 190 and abs(got["amp"] - 50) < 3
     assert fit.fit_series(s[:4], e[:4], v[:4], r[:4], 2017.0, (2015, 2018)) is None
     assert fit.fit_series(s[:20], e[:20], v[:20], r[:20], 2017.0, (2015, 2018)) is None
 
