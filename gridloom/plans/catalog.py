@@ -194,3 +194,41 @@ def json_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DAT-03, SRC-19: attributes promoted from JSON."""
     e = table(spark, sf_dir, "events")
     return e.groupBy(F.col("event_type").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.get_json_object("props", "$.k").cast("double")), 4).alias("total"))
+
+
+@query("WITH d AS (SELECT s_suppkey AS k, 'cube_' || s_suppkey || '_x' AS name FROM supplier), s AS (SELECT DISTINCT 's3://b/' || 'cube_' || l_suppkey || '_x.zarr' AS store FROM lineitem WHERE l_quantity > 49), led AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_tax > 0.07) SELECT k, store FROM d JOIN s ON store = 's3://b/' || name || '.zarr' WHERE k IN (SELECT k FROM led)")
+def definitions_with_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-18, STR-13: definitions whose store exists (equal base names) and has a ledger."""
+    from ..functions.names import base_name
+
+    s, li = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "lineitem")
+    d = s.select(F.col("s_suppkey").alias("k"), F.concat(F.lit("cube_"), F.col("s_suppkey").cast("string"), F.lit("_x")).alias("name"))
+    store = li.where("l_quantity > 49").select(F.concat(F.lit("s3://b/cube_"), F.col("l_suppkey").cast("string"), F.lit("_x.zarr")).alias("store")).distinct()
+    store = store.withColumn("name", F.regexp_replace(base_name(F.col("store")), r"\.zarr$", ""))
+    led = li.where("l_tax > 0.07").select(F.col("l_suppkey").alias("k"))
+    return d.join(store, "name").join(led, "k", "left_semi").select("k", "store")
+
+
+@query(f"WITH {SCENES} SELECT pr, count(*) FILTER (kind <> 'error' AND kind <> 'signup' AND cloud <= 40 AND nadir) AS nadir, count(*) FILTER (kind <> 'error' AND kind <> 'signup' AND cloud <= 40 AND NOT nadir) AS off_nadir FROM scenes GROUP BY pr")
+def scene_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-13, SRC-15: level, nadir and cloud predicates on the scene list."""
+    usable = ~F.col("kind").isin("error", "signup") & (F.col("cloud") <= 40)
+    return scenes(spark, sf_dir).groupBy("pr").agg(F.count_if(usable & F.col("nadir")).alias("nadir"), F.count_if(usable & ~F.col("nadir")).alias("off_nadir"))
+
+
+@query("SELECT event_type AS kind, count(*) AS layers, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def incremental_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-01, INC-02, INC-03, INC-05, LIM-02: a file stream appended to a cube in bounded
+    batches; running it again adds nothing."""
+    import tempfile
+
+    from ..streaming.incremental import update_cube
+
+    # one cube and checkpoint per call: beside the cluster's checkpoints, or local in tests
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="gridloom-cube-")
+    base = f"{root.rstrip('/')}/gridloom/cube-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
+    source = f"{sf_dir}/events.parquet"
+    schema = spark.read.parquet(source).schema
+    for _ in range(2):  # the pattern lets one file stand for a folder of files
+        cube = update_cube(spark, f"{sf_dir}/events.parque[t]", f"{base}/cube", f"{base}/checkpoint", schema, "event_id", lambda df: df.select("event_id", "event_type", "value"))
+    return cube.groupBy(F.col("event_type").alias("kind")).agg(F.count(F.lit(1)).alias("layers"), F.round(F.sum("value"), 4).alias("total"))

@@ -117,3 +117,16 @@ def projection_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     metre = 111_320.0
     off = F.greatest(F.abs(F.col("lon2") - F.col("lon")) * F.cos(F.radians("lat")), F.abs(F.col("lat2") - F.col("lat")), F.abs(grids.wrapped_longitude(lon3 - F.col("lon"))) * F.cos(F.radians(F.abs("lat") + 9)), F.abs(lat3 - F.abs("lat") - 9)) * metre
     return p.select("k", (off < 0.001).alias("close"))
+
+
+@query(ONE + """, a AS (SELECT x, y, v, size FROM one WHERE source = 0), b AS (SELECT x, y, size AS f, count0 FROM one WHERE source = 1)
+SELECT a.x, a.y, round(v / nullif(f, 0) * 2.0 + a.size * 0.5, 6) AS vx, CASE WHEN v IS NOT NULL THEN f * 12.5 END AS m11 FROM a JOIN b ON a.x = b.x AND a.y = b.y WHERE a.x BETWEEN 5 AND 30 AND a.y BETWEEN 2 AND 35""")
+def raster_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-16, MTH-13: two rasters joined on the cell after a crop."""
+    one = _one(spark, sf_dir)
+    inside = F.col("x").between(5, 30) & F.col("y").between(2, 35)
+    a = one.where("source = 0").where(inside).select("x", "y", "v", "size")
+    b = one.where("source = 1").where(inside).select("x", "y", F.col("size").alias("f"))
+    from ..functions.vectors import restored
+
+    return a.join(b, ["x", "y"]).select("x", "y", F.round(F.col("v") / F.nullif(F.col("f"), F.lit(0)) * 2.0 + F.col("size") * 0.5, 6).alias("vx"), restored(F.col("f"), F.lit(12.5), F.col("v")).alias("m11"))

@@ -195,3 +195,11 @@ def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = observations(spark, sf_dir)
     f = F.when(F.col("obs") % 5 != 4, F.col("obs") % 5)
     return o.select(quality.flag_swap(f, F.col("dt") < 5).alias("q")).groupBy("q").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {OBS}, layers AS (SELECT DISTINCT flag, CASE WHEN flag = 1 THEN 0 ELSE 1 END AS keep, flag * 2.5 AS extra FROM obs) SELECT cell, count(*) AS n, round(sum(vx + extra), 3) AS vx FROM obs JOIN layers USING (flag) WHERE keep = 1 GROUP BY cell")
+def layer_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-15: per-layer scalars joined to every pixel of the layer."""
+    layers = spark.createDataFrame([(0, 0.0, True), (1, 2.5, False), (2, 5.0, True)], "flag int, extra double, keep boolean").where("keep")  # three rows
+    o = observations(spark, sf_dir).join(F.broadcast(layers), "flag")
+    return o.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("vx") + F.col("extra")), 3).alias("vx"))
