@@ -15,7 +15,8 @@ with the first as context, so each id is scored once.
 
 Learning: word, id and class-pair counts cover every training document.  The attention
 weights are trained by Adam on every ``share``-th training document (a share, so it grows
-with the corpus), in ``rounds`` rounds of local steps whose weights are averaged.
+with the corpus), in ``rounds`` rounds of local steps whose weights are averaged.  Texts
+are encoded once; later passes read the staged ids.
 
 Base score: add-one word unigrams.  The ``frequent`` most frequent words are counted where
 the text is read; occurrences of all others are joined with the table of counts (no such
@@ -172,12 +173,19 @@ _FAR = np.where(_SEEN, _LAG, 0) % (2 * BLOCK)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(-1, keepdims=True)
-    np.exp(x, out=x)
+    np.exp(np.minimum(x, 80, out=x), out=x)
     x /= x.sum(-1, keepdims=True)
     return x
 
 
+def _picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log probability of one entry per row."""
+    np.minimum(x, 80, out=x)
+    chosen = x[np.arange(len(at)), at].astype(np.float64)
+    np.exp(x, out=x)
+    return chosen - np.log(x.sum(1))
+
+
 class Network:
     def __init__(self, weights: dict[str, np.ndarray], tables: Tables):
         self.w, self.t = weights, tables
@@ -208,7 +216,7 @@ class Network:
         spans = [(k, order[edges[k] : edges[k + 1]]) for k in range(GROUPS) if edges[k] < edges[k + 1]]
         for k, rows in spans:
             logit_m[rows] += h2[rows] @ w["member"][k]
-        return {"keys": keys, "a": a, "values": values, "h": h, "u": u, "r": r, "h2": h2, "goal": goal, "group": group, "g1": g1, "g2": g2, "m1": m1, "m2": m2, "pg": _softmax(logit_g), "pm": _softmax(logit_m), "spans": spans}
+        return {"keys": keys, "a": a, "values": values, "h": h, "u": u, "r": r, "h2": h2, "goal": goal, "group": group, "g1": g1, "g2": g2, "m1": m1, "m2": m2, "lg": logit_g, "lm": logit_m, "spans": spans}
 
     def log_probs(self, prev, cur, back, targets, first) -> np.ndarray:
         """Log probability of each target class (0 beyond a text's end)."""
@@ -216,9 +224,9 @@ class Network:
         for at in range(0, len(cur), CHUNK):
             x = slice(at, at + CHUNK)
             f = self.forward(prev[x], cur[x], back[x], targets[x], first[x])
-            rows, t = np.arange(len(f["goal"])), targets[x].ravel()
-            p = f["pg"][rows, f["group"]].astype(np.float64) * f["pm"][rows, f["goal"] % GROUPS]
-            out[at * BLOCK : at * BLOCK + len(t)] = np.where(t >= 0, np.log(np.maximum(p, 1e-30)), 0)
+            t = targets[x].ravel()
+            lp = _picked(f["lg"], f["group"]) + _picked(f["lm"], f["goal"] % GROUPS)
+            out[at * BLOCK : at * BLOCK + len(t)] = np.where(t >= 0, lp, 0)
         return out.reshape(targets.shape)
 
     def gradient(self, prev, cur, back, targets, first) -> dict[str, np.ndarray]:
@@ -228,7 +236,7 @@ class Network:
         valid = (targets.ravel() >= 0).astype(np.float32)
         weight = (valid / max(1, valid.sum()))[:, None]
         rows = np.arange(len(valid))
-        dg, dm = f["pg"], f["pm"]
+        dg, dm = _softmax(f["lg"]), _softmax(f["lm"])
         dg[rows, f["group"]] -= 1
         dm[rows, f["goal"] % GROUPS] -= 1
         dg *= weight
@@ -292,90 +300,138 @@ class Model:
         return [(float(x) + float(share[s].sum())) / math.log(10) for x, s in zip(per_text, seqs, strict=True)]
 
 
-def _training(docs: DataFrame, id_col: str, text_col: str, keep=lambda doc_id: not held_out(doc_id)):
-    """(doc_id, text) rows, and a filter of Python rows to the training documents."""
-    rows = docs.select(col(docs, id_col).cast("long").alias("doc_id"), col(docs, text_col).cast("string").alias("text"))
-    return rows, keep
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(col(docs, id_col).cast("long").alias("doc_id"), col(docs, text_col).cast("string").alias("text"))
 
 
-def corpus_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Staged (kind, key, n): words (0, hash), ids (1, id) and documents (2, 0) of training."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """Staged (kind, key, n) of the training rows: words (0, hash) and documents (2, 0)."""
     ship(docs.sparkSession)
-    rows_of, keep = _training(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        ids = np.zeros(IDS, np.int64)
         documents = 0
 
         def flush() -> pa.RecordBatch:
-            found = list(counts)
-            n = np.fromiter(counts.values(), np.int64, len(found))
-            for at in range(0, len(found), 8192):
-                part = encoder(vocabulary).joined([[" " + w.decode("utf-8", "surrogatepass")] for w in found[at : at + 8192]])
-                lengths = np.fromiter((len(x) // 4 for x in part), np.int64, len(part))
-                np.add.at(ids, np.frombuffer(b"".join(part), np.uint32), np.repeat(n[at : at + 8192], lengths))
-            keys = np.fromiter(map(word_key, found), np.int64, len(found))
+            n = np.fromiter(counts.values(), np.int64, len(counts))
+            keys = np.fromiter(map(word_key, counts), np.int64, len(counts))
             counts.clear()
             return pa.RecordBatch.from_pydict({"kind": np.zeros(len(n), np.int32), "key": keys, "n": n})
 
         for batch in batches:
             for rows in slices(batch):
                 for r in rows:
-                    if keep(r["doc_id"]):
+                    if not held_out(r["doc_id"]):
                         counts.update(words(r["text"]))
                         documents += 1
                 if len(counts) > 400_000:
                     yield flush()
         yield flush()
-        at = np.flatnonzero(ids)
-        yield pa.RecordBatch.from_pydict({"kind": np.ones(len(at), np.int32), "key": at, "n": ids[at]})
         yield pa.RecordBatch.from_pydict({"kind": np.array([2], np.int32), "key": np.zeros(1, np.int64), "n": np.array([documents])})
 
-    out = rows_of.mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    out = docs.mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     return stage(out, "lm-counts")
 
 
-def pair_counts(docs: DataFrame, classes: Classes, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Counts of class pairs one and two places apart over all training documents."""
-    rows_of, keep = _training(docs, id_col, text_col)
-    of, cells = classes.of, CLASSES * CLASSES
+def encoded(docs: DataFrame, known: dict[int, int], documents: int, vocabulary: str) -> DataFrame:
+    """Staged rows: ids (16-bit) of every text, the base score's sum over frequent words, and
+    the hashes of all other words."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    end_log = math.log10(documents + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(2 * cells, np.int64)
+        logs = {k: math.log10(n + 1) for k, n in shared.value.items()}
+        memo: dict[bytes, int] = {}
         for batch in batches:
             for rows in slices(batch):
-                seqs = [of[s] for s in sequences([words(r["text"]) for r in rows if keep(r["doc_id"])], vocabulary)]
-                if seqs:
-                    _, cur, back, goal, _ = windows(seqs, int(of[END]))
-                    real = goal.ravel() >= 0
-                    goal = goal.ravel()[real]
-                    np.add.at(n, cur.ravel()[real] * CLASSES + goal, 1)
-                    np.add.at(n, back.ravel()[real] * CLASSES + goal + cells, 1)
+                bags = [words(r["text"]) for r in rows]
+                new = set().union(*bags).difference(memo)
+                if len(memo) + len(new) > 300_000:
+                    memo.clear()
+                    new = set().union(*bags)
+                memo.update((w, word_key(w)) for w in new)
+                rare, log_sum, n_top = [], [], []
+                for bag in bags:
+                    keys = list(map(memo.__getitem__, bag))
+                    found = list(map(logs.get, keys))
+                    others = [k for k, x in zip(keys, found, strict=True) if x is None]
+                    log_sum.append(math.fsum(x for x in found if x is not None) + end_log)
+                    n_top.append(len(keys) - len(others) + (documents > 0))
+                    rare.append(others)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()),
+                        "held_out": pa.array([held_out(r["doc_id"]) for r in rows]),
+                        "n_tokens": pa.array([len(bag) + 1 for bag in bags], pa.int64()),
+                        "n_top": pa.array(n_top, pa.int64()),
+                        "log_top": pa.array(log_sum, pa.float64()),
+                        "rare": pa.array(rare, pa.list_(pa.int64())),
+                        "ids": pa.array([s.astype(np.uint16).tobytes() for s in sequences(bags, vocabulary)], pa.binary()),
+                    }
+                )
+
+    out = docs.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_top long, log_top double, rare array<long>, ids binary")
+    return stage(out.withColumn("row", F.monotonically_increasing_id()), "lm-ids")
+
+
+def _ids(batch: pa.RecordBatch, rows: int = 256) -> Iterator[list[np.ndarray]]:
+    """Id sequences of a batch, some at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield [np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("ids").slice(at, rows)]
+
+
+def _counted(rows: DataFrame, cells: int, count) -> np.ndarray:
+    """Sum over all rows of what ``count(n, ids)`` adds to an array of ``cells``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(cells, np.int64)
+        for batch in batches:
+            for seqs in _ids(batch):
+                count(n, seqs)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({"key": at, "n": n[at]})
 
-    out = np.zeros(2 * cells, np.int64)
-    got = rows_of.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most 2 * CLASSES ** 2 rows
+    out = np.zeros(cells, np.int64)
+    got = rows.select("ids").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # ``cells`` rows at most
     out[got.column("key").to_numpy()] = got.column("n").to_numpy()
-    return out[:cells], out[cells:]
+    return out
+
+
+def id_counts(training: DataFrame) -> np.ndarray:
+    def count(n: np.ndarray, seqs: list[np.ndarray]) -> None:
+        n += np.bincount(np.concatenate(seqs), minlength=IDS)
+
+    return _counted(training, IDS, count)
+
+
+def pair_counts(training: DataFrame, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of class pairs one and two places apart over all training rows."""
+    of, cells = classes.of, CLASSES * CLASSES
+
+    def count(n: np.ndarray, seqs: list[np.ndarray]) -> None:
+        _, cur, back, goal, _ = windows([of[s] for s in seqs], int(of[END]))
+        real = goal.ravel() >= 0
+        goal = goal.ravel()[real]
+        np.add.at(n, cur.ravel()[real] * CLASSES + goal, 1)
+        np.add.at(n, back.ravel()[real] * CLASSES + goal + cells, 1)
 
+    n = _counted(training, 2 * cells, count)
+    return n[:cells], n[cells:]
 
-def learn_weights(docs: DataFrame, classes: Classes, tables: Tables, vocabulary: str, share: int = 8, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> dict[str, np.ndarray]:
-    """Local Adam in every partition on its training documents of the share, averaged."""
+
+def learn_weights(training: DataFrame, classes: Classes, tables: Tables, share: int = 16, rounds: int = 1) -> dict[str, np.ndarray]:
+    """Local Adam in every partition on its documents of the share, averaged by round."""
     weights = start_weights()
-    rows_of, keep = _training(docs, id_col, text_col)
     for turn in range(rounds):
-        flat, mine = pack_weights(weights), rows_of.where(F.pmod(F.xxhash64(F.lit(23), "doc_id", "text"), F.lit(share * rounds)) == turn)
+        flat, mine = pack_weights(weights), training.where(F.pmod(F.xxhash64(F.lit(23), "ids"), F.lit(share * rounds)) == turn).select("ids")
 
         def run(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat, turn: int = turn) -> Iterator[pa.RecordBatch]:
             w, seen = unpack_weights(flat), 0
             for batch in batches:
-                for rows in slices(batch):
-                    seqs = [classes.of[s] for s in sequences([words(r["text"]) for r in rows if keep(r["doc_id"])], vocabulary)]
-                    if seqs:
-                        w = train(w, tables, windows(seqs, int(classes.of[END])), seed=turn)
-                        seen += sum(map(len, seqs))
+                for seqs in _ids(batch):
+                    seqs = [classes.of[s] for s in seqs]
+                    w = train(w, tables, windows(seqs, int(classes.of[END])), seed=turn)
+                    seen += sum(map(len, seqs))
             if seen:
                 yield pa.RecordBatch.from_pydict({"n": [seen], "w": [(pack_weights(w).astype(np.float64) * seen).tobytes()]})
 
@@ -393,63 +449,34 @@ def learn_weights(docs: DataFrame, classes: Classes, tables: Tables, vocabulary:
     return weights
 
 
-def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = 65_536, share: int = 8, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = 65_536, share: int = 16, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document."""
     spark = docs.sparkSession
-    counts = corpus_counts(docs, vocabulary, id_col, text_col)
+    rows_of = _rows(docs, id_col, text_col)
+    counts = word_counts(rows_of)
     of_kind = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()}
     documents = of_kind[2]["n"] if 2 in of_kind else 0
     n_words, distinct = (of_kind[0]["n"], of_kind[0]["distinct"]) if 0 in of_kind else (0, 0)
     tokens, types = n_words + documents, distinct + (documents > 0)
-    id_counts = np.zeros(IDS, np.int64)
-    for r in counts.where("kind = 1").select("key", "n").collect():  # at most IDS rows
-        id_counts[r["key"]] = r["n"]
-    id_counts[END] += documents
-    classes = Classes(id_counts, word_starts(vocabulary))
-    tables = Tables(*pair_counts(docs, classes, vocabulary, id_col, text_col))
-    model = Model(classes, learn_weights(docs, classes, tables, vocabulary, share, rounds, id_col, text_col), tables)
     known = {r["key"]: r["n"] for r in counts.where("kind = 0").orderBy(F.desc("n"), "key").limit(frequent).select("key", "n").collect()}  # ``frequent`` rows
-    shared = spark.sparkContext.broadcast((model, known))
-    end_log = math.log10(documents + 1)
+    rows = encoded(rows_of, known, documents, vocabulary)
+    training = rows.where("not held_out")
+    classes = Classes(id_counts(training), word_starts(vocabulary))
+    tables = Tables(*pair_counts(training, classes))
+    model = spark.sparkContext.broadcast(Model(classes, learn_weights(training, classes, tables, share, rounds), tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, top = shared.value
-        logs = {k: math.log10(n + 1) for k, n in top.items()}
-        memo: dict[bytes, int] = {}
         for batch in batches:
-            for rows in slices(batch):
-                bags = [words(r["text"]) for r in rows]
-                new = set().union(*bags).difference(memo)
-                if len(memo) + len(new) > 300_000:
-                    memo.clear()
-                    new = set().union(*bags)
-                memo.update((w, word_key(w)) for w in new)
-                rare, log_sum, n_top = [], [], []
-                for bag in bags:
-                    keys = list(map(memo.__getitem__, bag))
-                    others = [k for k in keys if k not in logs]
-                    log_sum.append(math.fsum(logs[k] for k in keys if k in logs) + end_log)
-                    n_top.append(len(keys) - len(others) + (documents > 0))
-                    rare.append(others)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()),
-                        "held_out": pa.array([held_out(r["doc_id"]) for r in rows]),
-                        "n_tokens": pa.array([len(bag) + 1 for bag in bags], pa.int64()),
-                        "n_top": pa.array(n_top, pa.int64()),
-                        "log_top": pa.array(log_sum, pa.float64()),
-                        "score": pa.array(net.score(sequences(bags, vocabulary)), pa.float64()),
-                        "rare": pa.array(rare, pa.list_(pa.int64())),
-                    }
-                )
-
-    rows_of, _ = _training(docs, id_col, text_col)
-    scored = rows_of.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_top long, log_top double, score double, rare array<long>")
-    scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    word_counts = counts.where("kind = 0").select("key", F.col("n").alias("c"))
-    found = scored.select("row", F.explode("rare").alias("key")).join(word_counts, "key")
+            at = 0
+            for seqs in _ids(batch):
+                yield pa.RecordBatch.from_pydict({"row": batch.column("row").slice(at, len(seqs)), "score": pa.array(model.value.score(seqs), pa.float64())})
+                at += len(seqs)
+
+    scores = rows.select("row", "ids").mapInArrow(run, "row long, score double")
+    per_word = counts.where("kind = 0").select("key", F.col("n").alias("c"))
+    found = rows.select("row", F.explode("rare").alias("key")).join(per_word, "key")
     rest = found.groupBy("row").agg(F.count(F.lit(1)).alias("n_rest"), F.sum(F.log10(F.col("c") + 1)).alias("log_rest"))
-    out = scored.drop("rare").join(rest, "row", "left")
+    out = rows.select("row", "doc_id", "held_out", "n_tokens", "n_top", "log_top").join(scores, "row").join(rest, "row", "left")
     log_total = math.log10(tokens + types + 1)
     return out.select(
         "doc_id",

@@ -86,7 +86,7 @@ def test_class_probabilities_sum_to_one_and_scores_are_causal():
     s = rng.integers(0, lm.CLASSES, 50)
     blocks = lm.windows([s], 5)
     f = net.forward(*blocks)
-    assert np.allclose(f["pg"].sum(1), 1, atol=1e-5) and np.allclose(f["pm"].sum(1), 1, atol=1e-5)
+    assert np.allclose(lm._softmax(f["lg"]).sum(1), 1, atol=1e-5) and np.allclose(lm._softmax(f["lm"]).sum(1), 1, atol=1e-5)
     one = net.log_probs(*blocks).ravel()[:50]
     s2 = s.copy()
     s2[40:] = rng.integers(0, lm.CLASSES, 10)
