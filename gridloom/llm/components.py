@@ -26,15 +26,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v")).distinct()
 
 
+def _mark(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+
 def components(links: DataFrame) -> Staged:
     """(u, v) links -> staged (u, v) with v the least node of u's component, u != v."""
-    edges = Staged(links.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "cc")
-    mark = None
+    edges = Staged(links.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
+    mark = _mark(edges.df)
     while True:
         new = Staged(_small_star(_large_star(edges.df)), "cc")
         edges.drop()
-        edges = new
-        now = tuple(edges.df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        if now == mark:
+        edges, old, mark = new, mark, _mark(new.df)
+        if mark == old:
             return edges
-        mark = now

@@ -3,13 +3,17 @@
 1. Every whole text gives its set of distinct word shingles (64-bit hashes); many
    multiply-shift universal hashes give the minima, kept as the signature.  Texts with equal
    sets form a class, represented by its smallest document id.
-2. Bands of the signature put classes into buckets.  A bucket never emits all its pairs: a
-   few centres at a time are compared with the members of other components, centres leave
-   the bucket, and a bucket is settled as soon as what is left belongs to one component.  A
-   pair of members is thus skipped only when a chain of links joins it already, so the
-   components are those of all links among the bucket's pairs.
-3. Pairs are screened by size and by signature agreement (a margin of 0.25, seven standard
-   deviations, below the threshold) and confirmed on the full sets.
+2. Bands of the signature put classes into buckets.  A bucket never emits its pairs.  First
+   each member is compared with the bucket's least id.  What is still split into several
+   components then meets a bounded number of centres at a time (members of the smallest
+   components first), streamed past them in blocks of at most ``BLOCK`` members; centres
+   leave the bucket, and it is settled as soon as what is left belongs to one component.  A
+   pair is thus skipped only when a chain of links joins it already, so the components are
+   those of all links among the buckets' pairs.  A pair that shares several buckets is
+   compared in the first of them.
+3. Comparisons are screened by size and by signature agreement (a margin of 0.25, seven
+   standard deviations, below the threshold) and confirmed on the full sets; only links
+   that join two components leave the task.
 4. Components by alternating large-star and small-star.
 
 With 24 bands of 4 a pair at the threshold of 0.85 shares no band with a chance of 2e-8
@@ -32,12 +36,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Staged, col, ship, stage, table
+from .common import col, ship, stage, table
 from .components import components
 from .tokens import slices
 
 BANDS, ROWS = 24, 4
 MEMO = 400_000
+BLOCK, CENTRES = 2048, 256
 _words: dict[bytes, int] = {}
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=np.uint64)
 
@@ -168,47 +173,100 @@ def verified(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, num: int, den:
     return near.join(ys, "b").join(xs, "a").select("a", "b", "set_a", "set_b").mapInArrow(_confirm(num, den), "a long, b long")
 
 
+def _meet(num: int, den: int):
+    """Streams members past the centres of their block; rows are sorted by (key, block,
+    kind), centres (kind 0) first."""
+    least = num / den - 0.25
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, centres, parent = None, {}, {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        def arrays(part: pa.RecordBatch) -> dict:
+            sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).reshape(part.num_rows, -1)
+            return {"sig": sig, "rep": part.column("rep").to_pylist(), "comp": part.column("comp").to_pylist(), "n": part.column("n").to_numpy(), "set": [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("set")]}
+
+        def compared(x: dict, band: int) -> list[tuple[int, int]]:
+            same = x["sig"][:, None] == centres["sig"][None]
+            shared = same.reshape(*same.shape[:2], BANDS, ROWS).all(-1)
+            ok = (same.mean(-1) >= least) & (shared.argmax(-1) == band)
+            ok &= np.array(x["comp"])[:, None] != np.array(centres["comp"])[None]
+            ok &= np.minimum(x["n"][:, None], centres["n"][None]) * den >= np.maximum(x["n"][:, None], centres["n"][None]) * num
+            found = []
+            for i, j in zip(*np.nonzero(ok), strict=True):
+                ri, rj = root(x["comp"][i]), root(centres["comp"][j])
+                if ri == rj:
+                    continue
+                a, b = x["set"][i], centres["set"][j]
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if den * both >= num * (len(a) + len(b) - both):
+                    parent[max(ri, rj)] = min(ri, rj)
+                    found.append((centres["rep"][j], x["rep"][i]))
+            return found
+
+        for batch in batches:
+            key, block, kind = (batch.column(c).to_numpy() for c in ("key", "block", "kind"))
+            edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])]) if len(key) else []
+            found = []
+            for lo, hi in zip(edges, [*edges[1:], len(key)], strict=True):
+                if at != (key[lo], block[lo]):
+                    at, centres, parent = (key[lo], block[lo]), {}, {}
+                band = batch.column("band")[int(lo)].as_py()
+                for k in range(lo, hi, 128):
+                    x = arrays(batch.slice(k, min(128, hi - k)))
+                    if kind[lo] == 0:
+                        centres = {c: np.concatenate((centres[c], v)) if c in ("sig", "n") else centres[c] + v for c, v in x.items()} if centres else x
+                    else:
+                        found += compared(x, band)
+            if found:
+                yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
+
+    return run
+
+
 def near_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     sig = stage(signatures(docs, size, id_col, text_col), "signatures")
     classes = sig.where("n_shingles > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     classes = stage(classes, "classes")
-    band = F.explode(F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)) for b in range(BANDS)]))
-    entries = classes.select("rep", band.alias("key")).distinct()
+    band = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)).alias("key")) for b in range(BANDS)]))
+    entries = classes.select("rep", band.alias("e")).select("rep", "e.band", "e.key").distinct()
     shared = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key", "lo")
     entries = stage(entries.join(shared, "key"), "buckets")
     involved = stage(entries.select("rep").distinct(), "involved")
-    sigs = stage(_only(classes.select("rep", "n", "sig"), "rep", involved), "involved-signatures")
+    sigs = stage(_only(classes.select("rep", "n", "sig"), "rep", involved).dropDuplicates(["rep"]), "involved-signatures")
     texts = _only(_rows(docs, id_col, text_col).withColumnRenamed("doc_id", "rep"), "rep", involved)
-    sets = stage(_sets(texts.withColumnRenamed("rep", "doc_id"), size).dropDuplicates(["rep", "set"]), "involved-sets")
+    sets = stage(_sets(texts.withColumnRenamed("rep", "doc_id"), size).dropDuplicates(["rep"]), "involved-sets")
 
     pairs = stage(entries.where("rep <> lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     links = verified(pairs, sigs, sets, num, den)
     labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).df.select(F.col("u").alias("rep"), F.col("v").alias("comp"))
-    tested, rest, centres = pairs, entries.where("rep <> lo").select("key", "rep"), 4
+    rest = entries.where("rep <> lo").select("key", "band", "rep")
     while True:
         named = rest.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("in_comp"))
-        mixed = parts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        open_ = stage(named.join(mixed, "key", "left_semi").join(parts, ["key", "comp"]), "open-buckets")
+        mixed = parts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("in_comp").alias("members")).where("lo < hi").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        open_ = stage(named.join(mixed, "key").join(parts, ["key", "comp"]), "open-buckets")
         if open_.limit(1).count() == 0:
             break
         order = W.partitionBy("key").orderBy("in_comp", "comp", "rep")
-        chosen = open_.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= centres).select("key", F.col("rep").alias("centre"), F.col("comp").alias("centre_comp"))
-        chosen = stage(chosen, "centres")
-        meets = chosen.join(open_, "key").where(F.col("comp") != F.col("centre_comp"))
-        pairs = meets.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
-        pairs = stage(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stage(verified(pairs, sigs, sets, num, den), "links")
+        chosen = stage(open_.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CENTRES).drop("nth"), "centres")
+        data = _only(sigs.join(sets, "rep"), "rep", open_.select("rep"))
+        rows = open_.select("key", "band", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("kind"))
+        rows = rows.unionByName(chosen.select("key", "band", "rep", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("kind")))
+        rows = rows.join(data, "rep").repartition("key", "block").sortWithinPartitions("key", "block", "kind", "rep")
+        links = stage(rows.select("key", "block", "kind", "band", "rep", "comp", "n", "sig", "set").mapInArrow(_meet(num, den), "a long, b long"), "links")
         if links.limit(1).count():
             ends = links.join(labels.select(F.col("rep").alias("a"), F.col("comp").alias("ca")), "a", "left").join(labels.select(F.col("rep").alias("b"), F.col("comp").alias("cb")), "b", "left")
             merged = components(ends.select(F.coalesce("ca", "a").alias("u"), F.coalesce("cb", "b").alias("v"))).df
             moved = labels.join(merged.select(F.col("u").alias("comp"), F.col("v").alias("to")), "comp", "left").select("rep", F.coalesce("to", "comp").alias("comp"))
-            fresh_ = merged.select(F.col("u").alias("rep"), F.col("v").alias("comp")).join(labels, "rep", "left_anti")
-            labels = stage(moved.unionByName(fresh_), "labels")
-        tested = tested.unionByName(pairs)
-        rest = stage(open_.join(chosen.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti").select("key", "rep"), "rest")
-        centres *= 4
+            new = merged.select(F.col("u").alias("rep"), F.col("v").alias("comp")).join(labels, "rep", "left_anti")
+            labels = stage(moved.unionByName(new), "labels")
+        rest = stage(open_.join(chosen.select("key", "rep"), ["key", "rep"], "left_anti").select("key", "band", "rep"), "rest")
     named = classes.join(labels, "rep", "left").select("cls", F.coalesce("comp", "rep").alias("comp"))
     out = sig.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
     single = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
