@@ -13,11 +13,13 @@ import re
 import zlib
 from array import array
 
+import numpy as np
+
 os.environ.setdefault("RAYON_NUM_THREADS", "1")
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "byte_bpe_50k.json"
-MEMO = 400_000  # chunks a worker remembers; others are encoded anew in each batch
+MEMO = 1_000_000  # chunks a worker remembers; others are encoded anew in each batch
 _DOUBLE = re.compile(r"\s[ \n]")
 _STEP = re.compile(r"(?<=\S)(?=[ \n])")
 _loaded: dict[str, "Encoder"] = {}
@@ -44,30 +46,51 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.memo: dict[str, bytes] = {"": b""}
-
-    def _new(self, missing: list[str]) -> dict[str, bytes]:
-        got = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        return {c: array("I", e.ids).tobytes() for c, e in zip(missing, got, strict=True)}
+        n = self.tokenizer.get_vocab_size()
+        #: bytes of each id; in the byte alphabet a character stands for a byte
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(n)], np.int64)
+        self.memo: dict[str, bytes] = {}
+
+    def _each(self, found: list[str]) -> dict[str, bytes]:
+        got = self.tokenizer.encode_batch_fast(found, add_special_tokens=False)
+        return {c: array("I", e.ids).tobytes() for c, e in zip(found, got, strict=True)}
+
+    def _new(self, found: list[str]) -> dict[str, bytes]:
+        """Ids of chunks.  Chunks that lead with a blank and end with another character keep
+        their ids when strung together, so they are encoded by the thousand and cut apart
+        again where the ids' bytes meet the chunks' ends."""
+        alone = [c for c in found if c[:1] not in (" ", "\n") or c[-1].isspace()]
+        strung = [c for c in found if c[:1] in (" ", "\n") and not c[-1].isspace()]
+        out = self._each(alone) if alone else {}
+        parts = [strung[k : k + 1000] for k in range(0, len(strung), 1000)]
+        if not parts:
+            return out
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast(["".join(x) for x in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in part])
+            reached = np.cumsum(self.bytes_of[ids])
+            cuts = np.searchsorted(reached, ends)
+            if reached[-1] != ends[-1] or not np.array_equal(reached[cuts], ends):
+                out |= self._each(part)
+                continue
+            data, edges = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
+            out.update((c, data[x:y]) for c, x, y in zip(part, edges, edges[1:]))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         return self.joined([chunks(t) for t in texts])
 
     def joined(self, lists: list[list[str]]) -> list[bytes]:
-        memo = self.memo
-        missing: set[str] = set()
-        for x in lists:
-            missing.update(set(x).difference(memo))
+        got = [list(map(self.memo.get, x)) for x in lists]
+        missing = {c for x, g in zip(lists, got, strict=True) if None in g for c, v in zip(x, g, strict=True) if v is None}
         if not missing:
-            return [b"".join(map(memo.__getitem__, x)) for x in lists]
-        new = self._new(list(missing))
-        if len(memo) + len(new) <= MEMO:
-            memo.update((c, b) for c, b in new.items() if len(c) <= 48)
-        out = []
-        for x in lists:
-            out.append(b"".join([memo[c] if c in memo else new[c] for c in x]))
-        return out
+            return [b"".join(g) for g in got]
+        new = self._new([c for c in missing if c])
+        new[""] = b""
+        if len(self.memo) + len(new) <= MEMO:
+            self.memo.update((c, v) for c, v in new.items() if len(c) <= 48)
+        return [b"".join([new[c] if v is None else v for c, v in zip(x, g, strict=True)]) if None in g else b"".join(g) for x, g in zip(lists, got, strict=True)]
 
 
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
