@@ -63,13 +63,15 @@ def fit_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 400, rat
         return s * (1 - s)
 
     for t in range(1, steps + 1):
-        fp, fu = xp @ w + b, xu @ w + b
+        w32 = w.astype(xp.dtype)  # as the features are, so that no product copies them
+        fp, fu = xp @ w32 + b, xu @ w32 + b
         lp, lu = 1 / (1 + np.exp(np.clip(-fp, -30, 30))), 1 / (1 + np.exp(np.clip(-fu, -30, 30)))  # losses of calling the row negative
         bracket = lu.mean() - prior * lp.mean()
         sp, su = slope(fp) / len(fp), slope(fu) / len(fu)
-        g_neg = np.r_[xu.T @ su - prior * (xp.T @ sp), su.sum() - prior * sp.sum()]
+        up = xp.T @ sp.astype(xp.dtype)
+        g_neg = np.r_[xu.T @ su.astype(xu.dtype) - prior * up, su.sum() - prior * sp.sum()]
         if bracket >= 0:
-            g = np.r_[-prior * (xp.T @ sp), -prior * sp.sum()] + g_neg
+            g = np.r_[-prior * up, -prior * sp.sum()] + g_neg
         else:
             g = -g_neg
         g[:-1] += decay * w
