@@ -13,10 +13,10 @@ form from the counts of all training documents and scaled by learned factors.  S
 walks over windows of two blocks that overlap by one; each window scores its second block
 with the first as context, so each id is scored once.
 
-Learning: word, id and class-pair counts cover every training document.  The attention
-weights are trained by Adam on every ``share``-th training document (a share, so it grows
-with the corpus), in ``rounds`` rounds of local steps whose weights are averaged.  Texts
-are encoded once; later passes read the staged ids.
+Learning: word, id and class-pair counts cover every training document, and so do the
+attention weights: Adam takes each training row once, in ``rounds`` rounds of local steps
+whose weights are averaged (rows are dealt to rounds by row id; a ``share`` above 1 would
+leave rows out).  Texts are encoded once; later passes read the staged ids.
 
 Base score: add-one word unigrams.  The ``frequent`` most frequent words are counted where
 the text is read; occurrences of all others are joined with the table of counts (no such
@@ -419,11 +419,16 @@ def pair_counts(training: DataFrame, classes: Classes) -> tuple[np.ndarray, np.n
     return n[:cells], n[cells:]
 
 
-def learn_weights(training: DataFrame, classes: Classes, tables: Tables, share: int = 16, rounds: int = 1) -> dict[str, np.ndarray]:
-    """Local Adam in every partition on its documents of the share, averaged by round."""
+def drawn(training: DataFrame, share: int, rounds: int, turn: int) -> DataFrame:
+    """Training rows of a round, by row id: copies of a text are drawn one by one."""
+    return training if share * rounds == 1 else training.where(F.pmod(F.xxhash64(F.lit(23), "row"), F.lit(share * rounds)) == turn)
+
+
+def learn_weights(training: DataFrame, classes: Classes, tables: Tables, share: int = 1, rounds: int = 1) -> dict[str, np.ndarray]:
+    """Local Adam in every partition on its documents, averaged by round."""
     weights = start_weights()
     for turn in range(rounds):
-        flat, mine = pack_weights(weights), training.where(F.pmod(F.xxhash64(F.lit(23), "ids"), F.lit(share * rounds)) == turn).select("ids")
+        flat, mine = pack_weights(weights), drawn(training, share, rounds, turn).select("ids")
 
         def run(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat, turn: int = turn) -> Iterator[pa.RecordBatch]:
             w, seen = unpack_weights(flat), 0
@@ -449,7 +454,7 @@ def learn_weights(training: DataFrame, classes: Classes, tables: Tables, share:
     return weights
 
 
-def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = 65_536, share: int = 16, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = 65_536, share: int = 1, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document."""
     spark = docs.sparkSession
     rows_of = _rows(docs, id_col, text_col)

@@ -136,3 +136,22 @@ def test_training_lowers_the_loss():
 def test_held_out_hash_agrees_with_columns(spark):
     df = spark.range(50).select(F.col("id"), (toxicity.remainder(F.col("id"), 7) == 2).alias("h"))
     assert all(r["h"] == lm.held_out(r["id"]) for r in df.collect())
+
+
+def test_weights_learn_from_every_training_row(spark):
+    rng = np.random.default_rng(5)
+    seqs = [rng.integers(0, 400, 40).astype(np.uint16) for _ in range(20)] + [np.arange(40, dtype=np.uint16)] * 10
+    rows = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(seqs)], "row long, ids binary").coalesce(1)
+    c = lm.Classes(rng.poisson(3, lm.IDS), np.arange(lm.IDS) % 2)
+    t = small_model()[1]
+    want = lm.train(lm.start_weights(), t, lm.windows([c.of[s] for s in seqs], int(c.of[lm.END])), seed=0)
+    got = lm.learn_weights(rows, c, t)
+    assert all(np.allclose(got[k], want[k], atol=1e-5) for k in lm.SHAPES)
+    turns = [{r["row"] for r in lm.drawn(rows, 1, 3, turn).collect()} for turn in range(3)]
+    assert sorted(x for turn in turns for x in turn) == list(range(30)) and all(turn & set(range(20, 30)) for turn in turns)
+
+
+def test_scores_use_every_training_row_unless_told_otherwise(docs):
+    key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["score"])
+    got, want = (sorted(map(key, df.collect())) for df in (lm.score_documents(docs), lm.score_documents(docs, share=1, rounds=1)))
+    assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want])
