@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import catalog as ops
@@ -102,6 +103,65 @@ def pair_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy("pr").agg(F.count(F.lit(1)).alias("n"), F.count_if(same).alias("same"), F.count_if(~same).alias("crossed"), F.count_if(F.col("cloud") == 0).alias("zero"), F.min("gap").alias("least"), F.max("gap").alias("most"))
 
 
+MAX_DAYS, ORBIT_DAYS = 544, (5, 90)  # the reference's windows
+WIDE = "FROM scenes a JOIN scenes b ON a.pr = b.pr AND b.day - a.day BETWEEN {lo} AND {hi} AND (a.day < b.day OR a.scene < b.scene) WHERE {where}"
+USABLE = "a.cloud <= 60 AND b.cloud <= 60 AND {no} a.nadir AND {no} b.nadir"
+
+
+def _window_pairs(s: DataFrame) -> DataFrame:
+    """Pairs 0 to 544 days apart; two scenes of one day are one pair, the lesser scene first."""
+    p = ops.interval_pairs(s, "pr", "day", "scene", 0, MAX_DAYS)
+    return p.where("gap > 0 or scene1 < scene2").select("pr", "scene1", "scene2", "gap")
+
+
+def _pair_counts(s: DataFrame, *keys: str) -> DataFrame:
+    """The keys, gap, pairs and pairs with a cloudless first scene, per pair of days."""
+    later = F.count(F.lit(1)).over(W.partitionBy(*keys, "day").orderBy(F.desc("scene")).rangeBetween(W.unboundedPreceding, -1))
+    zero = F.col("cloud") == 0
+    days = s.withColumn("later", later).groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("n"), F.count_if(zero).alias("zero"), F.sum("later").alias("own"), F.sum(F.when(zero, F.col("later")).otherwise(0)).alias("own_zero"))
+    far = ops.interval_pairs(days.withColumn("key", F.struct(*keys)), "key", "day", "day", 1, MAX_DAYS).select("key.*", "day1", "day2", "gap")
+    far = far.join(days.select(*keys, F.col("day").alias("day1"), F.col("n").alias("n1"), "zero"), [*keys, "day1"]).join(days.select(*keys, F.col("day").alias("day2"), F.col("n").alias("n2")), [*keys, "day2"])
+    far = far.select(*keys, "gap", (F.col("n1") * F.col("n2")).alias("n"), (F.col("zero") * F.col("n2")).alias("zero"))
+    return far.unionByName(days.where("own > 0").select(*keys, F.lit(0).alias("gap"), F.col("own").alias("n"), F.col("own_zero").alias("zero")))
+
+
+@query(f"WITH {SCENES} SELECT a.pr, a.scene AS scene1, b.scene AS scene2, b.day - a.day AS gap " + WIDE.format(lo=0, hi=MAX_DAYS, where=USABLE.format(no="")))
+def window_interval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-05, FLT-13, SRT-03: all pairs of scenes of one path/row in the reference's window."""
+    return _window_pairs(scenes(spark, sf_dir).where("cloud <= 60 and nadir"))
+
+
+@query(f"WITH {SCENES}, p AS (SELECT a.pr, a.scene AS scene1, b.scene AS scene2, b.day - a.day AS gap " + WIDE.format(lo=0, hi=MAX_DAYS, where=USABLE.format(no="")) + ") SELECT * FROM p WHERE NOT ((scene1 + scene2) % 4 = 0)")
+def window_missing_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-06, JON-08: pairs of the reference's window without those that exist."""
+    p = window_interval_pairs(spark, sf_dir)
+    return ops.missing(p, p.where("(scene1 + scene2) % 4 = 0"), ["pr", "scene1", "scene2"])
+
+
+@query(f"WITH {SCENES} SELECT a.pr, a.scene AS scene1, b.scene AS scene2, b.day - a.day AS gap " + WIDE.format(lo=0, hi=MAX_DAYS, where=USABLE.format(no="NOT")))
+def window_off_nadir_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-07, with the cloud cutoff of JON-05."""
+    return _window_pairs(scenes(spark, sf_dir).where("cloud <= 60 and not nadir"))
+
+
+@query(f"WITH {SCENES}, l2 AS (SELECT a.pr, a.scene AS scene1, b.scene AS scene2 " + WIDE.format(lo=ORBIT_DAYS[0], hi=ORBIT_DAYS[1], where="a.kind = 'view' AND b.kind = 'view'") + "), l1 AS (SELECT a.pr, a.scene AS scene1, b.scene AS scene2 " + WIDE.format(lo=ORBIT_DAYS[0], hi=ORBIT_DAYS[1], where="a.kind = 'view' AND b.kind = 'view' AND a.cloud < 50 AND b.cloud < 50") + ") SELECT pr, count(*) AS n FROM (SELECT * FROM l2 EXCEPT SELECT * FROM l1) GROUP BY pr")
+def window_orbit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-09, SRC-18: pairs 5 to 90 days apart at one processing level that the other lacks."""
+    s = scenes(spark, sf_dir).where("kind = 'view'")
+    l2, l1 = (ops.interval_pairs(x, "pr", "day", "scene", *ORBIT_DAYS) for x in (s, s.where("cloud < 50")))
+    return ops.missing(l2, l1, ["pr", "scene1", "scene2"]).groupBy("pr").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {SCENES}, p AS (SELECT a.pr, b.day - a.day AS gap, a.user_id = b.user_id AS same, a.cloud = 0 AS zero " + WIDE.format(lo=0, hi=MAX_DAYS, where="TRUE") + ") SELECT pr, count(*) AS n, count(*) FILTER (same) AS same, count(*) FILTER (NOT same) AS crossed, count(*) FILTER (zero) AS zero, min(gap) AS least, max(gap) AS most FROM p GROUP BY pr")
+def window_pair_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-27 over the pairs of the reference's window, counted from days without making pairs."""
+    s = scenes(spark, sf_dir)
+    n = _pair_counts(s, "pr").groupBy("pr").agg(F.sum("n").alias("n"), F.sum("zero").alias("zero"), F.min("gap").alias("least"), F.max("gap").alias("most"))
+    same = _pair_counts(s, "pr", "user_id").groupBy("pr").agg(F.sum("n").alias("same"))
+    held = F.coalesce("same", F.lit(0)).cast("long")
+    return n.join(same, "pr", "left").select("pr", "n", held.alias("same"), (F.col("n") - held).alias("crossed"), "zero", "least", "most")
+
+
 BOXES = "SELECT p_partkey AS id, (p_partkey * 17) % 360 - 180 AS x0, (p_partkey * 31) % 160 - 80 AS y0, (p_partkey * 17) % 360 - 180 + p_size / 10.0 AS x1, (p_partkey * 31) % 160 - 80 + p_size / 15.0 AS y1, p_size AS valid, CAST(p_partkey % 3 AS INTEGER) AS epsg FROM part"
 
 

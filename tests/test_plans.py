@@ -44,3 +44,33 @@ def test_query(spark, duck, name):
     at = [rel.columns.index(c) for c in sorted(df.columns)]
     want = sorted(tuple(plain(r[i]) for i in at) for r in rel.fetchall())
     assert got == want
+
+
+def test_pairs_fill_the_windows_of_the_reference(spark, tmp_path):
+    """Against loops over scenes of two path/rows up to 700 days apart, some of one day."""
+    import datetime as dt
+    import itertools
+    import random
+
+    rng = random.Random(3)
+    days = [rng.choice([0, 1, 4, 5, 29, 90, 91, 544, 545, 700]) for _ in range(70)]
+    rows = [(i, i % 3 + 50 * (i % 2), dt.datetime(2020, 1, 1) + dt.timedelta(days=d, hours=i % 20), "view" if i % 4 else "click", 1.0, "{}") for i, d in enumerate(days)]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    cloud = lambda i: i * 7 % 100
+    pr = {r[0]: r[1] % 50 for r in rows}
+    close = [(i, j, days[j] - days[i]) for i, j in itertools.permutations(range(70), 2) if pr[i] == pr[j] and (days[i], i) < (days[j], j)]
+    window = [p for p in close if p[2] <= 544]
+    fits = lambda p, nadir: all(cloud(i) <= 60 and (i % 11 != 0) == nadir for i in p[:2])
+    run = lambda name: plans.QUERIES[name](spark, str(tmp_path)).collect()
+    pairs = lambda name: sorted((r["scene1"], r["scene2"], r["gap"]) for r in run(name))
+    want = sorted(p for p in window if fits(p, True))
+    assert {0, 4, 5, 29, 544} <= {p[2] for p in want}
+    assert pairs("window_interval_pairs") == want
+    assert pairs("window_missing_pairs") == [p for p in want if (p[0] + p[1]) % 4]
+    assert pairs("window_off_nadir_pairs") == sorted(p for p in window if fits(p, False))
+    orbit = [p for p in close if 5 <= p[2] <= 90 and p[0] % 4 and p[1] % 4 and not (cloud(p[0]) < 50 and cloud(p[1]) < 50)]
+    assert {r["pr"]: r["n"] for r in run("window_orbit_pairs")} == {k: sum(pr[p[0]] == k for p in orbit) for k in {pr[p[0]] for p in orbit}}
+    for r in run("window_pair_statistics"):
+        of = [p for p in window if pr[p[0]] == r["pr"]]
+        same = sum(rows[p[0]][1] == rows[p[1]][1] for p in of)
+        assert (r["n"], r["same"], r["crossed"], r["zero"], r["least"], r["most"]) == (len(of), same, len(of) - same, sum(cloud(p[0]) == 0 for p in of), min(p[2] for p in of), max(p[2] for p in of))
