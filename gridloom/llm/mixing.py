@@ -6,9 +6,9 @@ DataFrame functions only.  Three steps:
    the excess goes to the others by weight.  That fixed point is ``min(cap*size, weight*L)``
    with one level ``L``, found from sums over the sources in order of ``cap*size/weight``.
 2. Draws: documents of a source are permuted by a seeded hash.  The quota takes
-   ``floor(quota/size)`` whole passes and then a prefix of the permutation; up to ``closers``
-   further documents, each the one whose size comes nearest to the gap left (only the last
-   may overshoot it), close the quota.
+   ``floor(quota/size)`` whole passes and then goes down the permutation, passing over
+   documents that overrun what is left, until none fits.  One more document may overshoot
+   the quota if that comes nearer to it, so no document left out would bring it nearer.
 3. Tree: every source's line of draws is cut into blocks, the number of blocks being its
    exact quota of ``blocks``.  A node of the tree holds a set of blocks and sends a uniformly
    random half of it left (which draws the vector of per-source counts from the multivariate
@@ -46,7 +46,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float
     return s.select(*STRATUM, "source_size", "n_rows", "weight", F.least("ceiling", F.col("weight") * F.col("level")).alias("target"))
 
 
-def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 7919, closers: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 7919, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: id, stratum, size, source_size, target, copies, line start, key."""
     text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
     base = docs.select(
@@ -69,25 +69,36 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3
     inside = W.partitionBy(*STRATUM, "cell").orderBy("key", "id", "h", "size")
     line = keyed.withColumn("end", F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0))).withColumn("pos", F.row_number().over(inside))
     line = small_join(line.join(ahead, [*STRATUM, "cell"]), goal, STRATUM)
-    line = line.select("id", *STRATUM, "size", "key", "source_size", "target", "passes", "rest", (F.col("words_ahead") + F.col("end")).alias("end"), (F.col("rows_ahead") + F.col("pos")).alias("pos"))
+    line = line.select("id", *STRATUM, "cell", "size", "key", "source_size", "target", "passes", "rest", (F.col("words_ahead") + F.col("end")).alias("end"), (F.col("rows_ahead") + F.col("pos")).alias("pos"))
     line = stage(line, "mix-line")
     inner = F.col("end") <= F.col("rest")
     got = line.groupBy(*STRATUM).agg(F.coalesce(F.max(F.when(inner, F.col("end"))), F.lit(0)).alias("got"))
-    gaps = goal.join(got, STRATUM).select(*STRATUM, (F.col("rest") - F.col("got")).alias("gap"), F.array().cast("array<long>").alias("closing"))
+    gaps = goal.join(got, STRATUM).select(*STRATUM, (F.col("rest") - F.col("got")).alias("gap"), F.lit(0).cast("long").alias("last"), F.array().cast("array<struct<lo:long,hi:long,most:double>>").alias("steps"))
     gaps = stage(gaps, "mix-gaps")
-    off = F.abs(F.col("gap") - F.col("size"))
-    for turn in range(closers):  # the last one may overshoot
-        near = off < F.abs("gap") if turn == closers - 1 else (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
-        open_ = small_join(line, gaps, STRATUM).where(~inner & near & ~F.array_contains("closing", F.col("pos")))
-        best = open_.groupBy(*STRATUM).agg(F.min(F.struct(off.alias("off"), "pos", "size")).alias("best"))
-        gaps = gaps.join(best, STRATUM, "left").select(
+    places = W.partitionBy(*STRATUM, "cell").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    while True:  # each step takes, in order, what fits up to the next document that overruns
+        fits = small_join(line, gaps, STRATUM).where(~inner & (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & (F.col("pos") > F.col("last"))).select(*STRATUM, "cell", "pos", "size", "gap")
+        parts = fits.groupBy(*STRATUM, "cell", "gap").agg(F.sum("size").alias("words"))
+        parts = parts.select(*STRATUM, "cell", "gap", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("reach")).where("reach < gap").drop("gap")
+        reach = F.col("reach") + F.sum("size").over(places)
+        step = fits.join(parts, [*STRATUM, "cell"]).withColumn("reach", reach).where("reach <= gap").groupBy(*STRATUM).agg(F.max("reach").alias("words"), F.max("pos").alias("hi"))
+        step = stage(step, "mix-step")
+        if step.isEmpty():
+            break
+        gaps = gaps.join(step, STRATUM, "left").select(
             *STRATUM,
-            (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
-            F.when(F.col("best").isNull(), F.col("closing")).otherwise(F.concat("closing", F.array("best.pos"))).alias("closing"),
+            (F.col("gap") - F.coalesce("words", F.lit(0))).alias("gap"),
+            F.coalesce("hi", "last").alias("last"),
+            F.when(F.col("hi").isNull(), F.col("steps")).otherwise(F.concat("steps", F.array(F.struct(F.col("last").alias("lo"), F.col("hi").cast("long").alias("hi"), F.col("gap").cast("double").alias("most"))))).alias("steps"),
         )
         gaps = stage(gaps, "mix-gaps")
+    walked = F.exists("steps", lambda x: (F.col("pos") > x["lo"]) & (F.col("pos") <= x["hi"]) & (F.col("size") <= x["most"]))
+    taken = inner | ((F.col("size") > 0) & walked)
+    off = F.abs(F.col("gap") - F.col("size"))
+    best = small_join(line, gaps, STRATUM).where(~taken & (off < F.col("gap"))).groupBy(*STRATUM).agg(F.min(F.struct(off.alias("off"), "pos")).alias("best"))
+    gaps = stage(gaps.join(best, STRATUM, "left").select(*STRATUM, "steps", F.coalesce("best.pos", F.lit(-1)).alias("closing")), "mix-gaps")
     out = small_join(line, gaps, STRATUM)
-    extra = inner | F.array_contains("closing", F.col("pos"))
+    extra = taken | (F.col("pos") == F.col("closing"))
     copies = F.when(F.col("size") > 0, F.col("passes") + extra.cast("long")).otherwise(F.lit(0).cast("long"))
     return out.select("id", *STRATUM, "size", "key", "source_size", "target", copies.alias("copies"), (F.col("end") - F.col("size")).alias("start"))
 

@@ -99,3 +99,22 @@ def test_tree_splits_blocks_evenly(spark):
     blocks = spark.createDataFrame([(False, f"s{k % 3}", k) for k in range(96)], "no_source boolean, source string, block long")
     got = mixing.split_tree(blocks, 3, 1).collect()
     assert set(Counter(r["shard"] for r in got).values()) == {12}
+
+
+def misses(planned):
+    """Per source what is missing, and the sizes of the documents its last pass left out."""
+    out = {}
+    for r in planned:
+        miss, left = out.setdefault(r["source"], [r["target"], []])
+        out[r["source"]][0] = miss - r["copies"] * r["size"]
+        if r["size"] and r["copies"] == r["target"] // r["source_size"]:
+            left.append(r["size"])
+    return out
+
+
+def test_no_document_left_out_brings_a_source_nearer(spark, docs):
+    rows = [(100 * s + i, "w " * (3000 if i == 0 else 5 + i % 7), f"s{s}") for s in range(9) for i in range(90)]
+    long_ones = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for df in (docs, long_ones):
+        for miss, left in misses(mixing.plan(df).collect()).values():
+            assert miss <= 1e-6 or all(abs(miss - size) >= miss - 1e-6 for size in left)
