@@ -66,14 +66,20 @@ def wrapped_longitude(lon: Column) -> Column:
 
 
 def in_polygon(x: Column, y: Column, ring: Column) -> Column:
-    """Ray casting over the edges of a closed ring of [x, y] points."""
+    """Ray casting over the edges of a closed ring of [x, y] points; points on an edge are outside."""
     edges = F.arrays_zip(F.slice(ring, 1, F.size(ring) - 1).alias("a"), F.slice(ring, 2, F.size(ring) - 1).alias("b"))
 
     def crosses(e: Column) -> Column:
         ax, ay, bx, by = e["a"][0], e["a"][1], e["b"][0], e["b"][1]
         return ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / F.nullif(by - ay, F.lit(0.0)) + ax)
 
-    return F.size(F.filter(edges, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
+    def touches(e: Column) -> Column:
+        ax, ay, bx, by = e["a"][0], e["a"][1], e["b"][0], e["b"][1]
+        on_line = (bx - ax) * (y - ay) == (by - ay) * (x - ax)
+        return on_line & x.between(F.least(ax, bx), F.greatest(ax, bx)) & y.between(F.least(ay, by), F.greatest(ay, by))
+
+    inside = F.size(F.filter(edges, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
+    return inside & ~F.exists(edges, lambda e: F.coalesce(touches(e), F.lit(False)))
 
 
 def _meridian() -> tuple[float, tuple[float, ...], tuple[float, ...]]:

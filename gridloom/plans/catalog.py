@@ -222,6 +222,13 @@ def single_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.exactly_one(li, table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "s_suppkey").select("k", F.col("s_name").alias("name"))
 
 
+@query("SELECT l.l_orderkey * 10 + l_linenumber AS k, s_name AS name FROM lineitem l JOIN supplier ON l_suppkey = s_suppkey")
+def whole_single_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-01, JON-17 over every line item."""
+    li = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"), F.col("l_suppkey").alias("s_suppkey"))
+    return ops.exactly_one(li, table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "s_suppkey").select("k", F.col("s_name").alias("name"))
+
+
 @query("SELECT a.event_id, a.ts AS one, b.ts2 AS two FROM events a JOIN (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN ts + INTERVAL 45 MINUTE ELSE ts END AS ts2 FROM events) b USING (event_id) WHERE CAST(a.ts AS DATE) <> CAST(b.ts2 AS DATE) OR hour(a.ts) <> hour(b.ts2)")
 def datetime_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JON-24."""

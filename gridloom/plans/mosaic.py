@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grids
@@ -82,14 +82,25 @@ def union_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.cell_union_edges(c)
 
 
+def _in_outline(spark: SparkSession, sf_dir: str, cells: Column) -> DataFrame:
+    ring = F.array(*[F.array(F.lit(float(a)), F.lit(float(b))) for a, b in ((20, 10), (70, 10), (70, 35), (45, 35), (45, 60), (20, 60), (20, 10))])
+    k = F.col("p_partkey")
+    g = table(spark, sf_dir, "part").select(k.alias("k"), ((k * 37) % 100).alias("x"), ((k * 61) % 100).alias("y")).where(cells)
+    return g.select("k", grids.in_polygon(F.col("x").cast("double"), F.col("y").cast("double"), ring).alias("inside"))
+
+
 @query("""WITH g AS (SELECT p_partkey AS k, (p_partkey * 37) % 100 AS x, (p_partkey * 61) % 100 AS y FROM part)
 SELECT k, CASE WHEN x > 20 AND x < 70 AND y > 10 AND y < 60 AND NOT (x >= 45 AND y >= 35) THEN TRUE ELSE FALSE END AS inside FROM g WHERE x NOT IN (20, 45, 70) AND y NOT IN (10, 35, 60)""")
 def polygon_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEO-07, GEO-19, FLT-15: cells in an L-shaped polygon by ray casting."""
-    ring = F.array(*[F.array(F.lit(float(a)), F.lit(float(b))) for a, b in ((20, 10), (70, 10), (70, 35), (45, 35), (45, 60), (20, 60), (20, 10))])
-    k = F.col("p_partkey")
-    g = table(spark, sf_dir, "part").select(k.alias("k"), ((k * 37) % 100).alias("x"), ((k * 61) % 100).alias("y")).where(~F.col("x").isin(20, 45, 70) & ~F.col("y").isin(10, 35, 60))
-    return g.select("k", grids.in_polygon(F.col("x").cast("double"), F.col("y").cast("double"), ring).alias("inside"))
+    return _in_outline(spark, sf_dir, ~F.col("x").isin(20, 45, 70) & ~F.col("y").isin(10, 35, 60))
+
+
+@query("""WITH g AS (SELECT p_partkey AS k, (p_partkey * 37) % 100 AS x, (p_partkey * 61) % 100 AS y FROM part)
+SELECT k, CASE WHEN x > 20 AND x < 70 AND y > 10 AND y < 60 AND NOT (x >= 45 AND y >= 35) THEN TRUE ELSE FALSE END AS inside FROM g""")
+def whole_polygon_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEO-07, GEO-19, FLT-15 over every cell; those on an edge are outside."""
+    return _in_outline(spark, sf_dir, F.lit(True))
 
 
 @query("""WITH m AS (SELECT DISTINCT CAST(p_partkey % 40 AS INTEGER) AS x, CAST((p_partkey // 40) % 40 AS INTEGER) AS y FROM part WHERE p_size > 25), c AS (SELECT i AS x, j AS y FROM generate_series(0, 39) a(i), generate_series(0, 39) b(j))

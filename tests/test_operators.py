@@ -126,3 +126,12 @@ def test_rotation_round_trip(spark):
 def test_packing_rounds_half_to_even_and_fills(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (None,), (1e9,)], "v double")
     assert [r[0] for r in df.select(vectors.packed(F.col("v"), "short")).collect()] == [0, 2, -32767, 32767]
+
+
+def test_cells_on_an_edge_are_outside(spark):
+    from gridloom.functions import grids
+
+    ring = F.array(*[F.array(F.lit(float(a)), F.lit(float(b))) for a, b in ((0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4), (0, 0))])
+    cells = spark.createDataFrame([(float(x), float(y)) for x in range(-1, 6) for y in range(-1, 6)], "x double, y double")
+    got = {(r["x"], r["y"]) for r in cells.where(grids.in_polygon(F.col("x"), F.col("y"), ring)).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (1, 2), (1, 3)}
