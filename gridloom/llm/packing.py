@@ -12,14 +12,14 @@ The pieces are then numbered inside their length (in two levels, so a frequent l
 no hot group) and looked up in the table of slots.
 
 Documents longer than the capacity are cut into full pieces, the first piece taking the
-remainder.  Defined cases: null and empty texts are the end id alone; rows that repeat a
+remainder.  Defined cases: null and empty texts are the end id alone; the name of a special
+token inside a text is encoded as that token, as the library does; rows that repeat a
 document are packed each; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import textual
 from .common import col, ranked, ship, stage, table
-from .tokens import VOCABULARY, crc, encoder, slices
+from .tokens import VOCABULARY, crc, encoder
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -117,19 +118,20 @@ def slot_table(classes: list[tuple[list[tuple[int, int]], int]]) -> dict[int, np
 def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     ship(docs.sparkSession)
-    end = array("I", [end_id]).tobytes()
-    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            for rows in slices(batch):
-                out = []
-                for r, ids in zip(rows, enc.encode([r["text"] or "" for r in rows]), strict=True):
-                    ids += end
-                    for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                        out.append({"doc_id": r["doc_id"], "piece": k, "start": start, "length": length, "ids_crc32": crc(ids[4 * start : 4 * (start + length)])})
-                yield pa.RecordBatch.from_pylist(out, schema)
+            for part in textual.pieces(batch):
+                ids, offsets = enc.encode(part.column("text"), end_id)
+                places = [cut(int(n), capacity) for n in np.diff(offsets)]
+                per_text = np.fromiter(map(len, places), np.int64, len(places))
+                start, length = np.array([x for p in places for x in p], np.int64).reshape(-1, 2).T
+                text = np.repeat(np.arange(len(places)), per_text)
+                nth = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+                at = offsets[text] + start
+                sums = np.fromiter((crc(ids[a : a + n]) for a, n in zip(at.tolist(), length.tolist())), np.int64, len(at))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(text)), pa.array(nth, pa.int32()), pa.array(start), pa.array(length), pa.array(sums)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(col(docs, id_col).cast("long").alias("doc_id"), col(docs, text_col).cast("string").alias("text"))
     return rows.mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")

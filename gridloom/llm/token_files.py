@@ -14,8 +14,9 @@ A reader takes the table from the end of the file and then inflates only the fra
 documents asked for, checking each.  Files follow ascending document ids.
 
 Defined cases: a null text is empty, an empty text has only the end id; null ids come
-first; rows that repeat an id follow each other in the order of a text hash; extra columns
-are ignored; an empty table gives no file and no rows.
+first; rows that repeat an id follow each other in the order of a checksum of their ids;
+the name of a special token inside a text is encoded as that token, as the library does;
+extra columns are ignored; an empty table gives no file and no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -33,8 +35,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import store
-from .common import col, drop_path, scratch_path, ship, stage, table
-from .tokens import VOCABULARY, crc, encoder, slices
+from .common import Staged, col, drop_path, scratch_path, ship, stage, table
+from .tokens import VOCABULARY, crc, encoder, pieces
 
 DIRECTORY, SEEK, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
@@ -48,12 +50,15 @@ class Writer:
         self.tokens = 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        frame = self.zip.compress(ids)
+        self.add_frame(doc_id, self.zip.compress(ids), len(ids), xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF)
+
+    def add_frame(self, doc_id: int | None, frame: bytes, size: int, checksum: int) -> None:
+        """A document whose frame is made already: ``size`` bytes of ids with that checksum."""
         self.stream.write(frame)
         self.ids.append(doc_id or 0)
         self.nulls.append(doc_id is None)
-        self.table.extend((len(frame), len(ids), xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF))
-        self.tokens += len(ids) // 4
+        self.table.extend((len(frame), size, checksum))
+        self.tokens += size // 4
 
     def close(self) -> None:
         n = len(self.ids)
@@ -107,33 +112,47 @@ class Reader:
         return [self.read(k) for k, x in enumerate(self.ids) if x == doc_id]
 
 
+def frames(docs: DataFrame, end_id: int, vocabulary: str, id_col: str, text_col: str, level: int = 3) -> DataFrame:
+    """doc_id, frame, size, checksum: every document encoded and compressed where it lies."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, zipper = encoder(vocabulary), zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True)
+        for batch in batches:
+            for part in pieces(batch):
+                ids, offsets = enc.encode(part.column("text"), end_id)
+                each = [ids[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
+                sums = np.fromiter((xxhash.xxh64_intdigest(x) & 0xFFFFFFFF for x in each), np.int64, len(each))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([zipper.compress(x) for x in each], pa.binary()), pa.array(4 * np.diff(offsets)), pa.array(sums)], ["doc_id", "frame", "size", "checksum"])
+
+    rows = docs.select(col(docs, id_col).cast("long").alias("doc_id"), col(docs, text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, frame binary, size long, checksum long")
+
+
 def write_token_files(docs: DataFrame, folder: str, end_id: int = 0, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Range-partition by id, encode, write a file per partition; returns the manifest
-    (path, part, documents, tokens, start).  Texts are encoded once, after the shuffle."""
-    spark = docs.sparkSession
-    ship(spark)
-    end = array("I", [end_id]).tobytes()
+    """Encode where texts lie, range-partition the frames by id, write a file per partition;
+    returns the manifest (path, part, documents, tokens, start)."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, batch = TaskContext.get().partitionId(), next(batches, None)
         if batch is None:
             return
-        path, enc, n = f"{folder}/part-{part:06d}.tok.zst", encoder(vocabulary), 0
+        path, n = f"{folder}/part-{part:06d}.tok.zst", 0
         with store.create(path) as f:
             w = Writer(f)
             while batch is not None:
-                for rows in slices(batch):
-                    for r, ids in zip(rows, enc.encode([r["text"] or "" for r in rows]), strict=True):
-                        w.add(r["doc_id"], ids + end)
-                        n += 1
+                for doc_id, frame, size, checksum in zip(*(batch.column(c) for c in ("doc_id", "frame", "size", "checksum")), strict=True):
+                    w.add_frame(doc_id.as_py(), frame.as_buffer(), size.as_py(), checksum.as_py())
+                    n += 1
                 batch = next(batches, None)
             w.close()
         yield pa.RecordBatch.from_pydict({"path": [path], "part": [part], "documents": [n], "tokens": [w.tokens]})
 
-    rows = docs.select(col(docs, id_col).cast("long").alias("doc_id"), col(docs, text_col).cast("string").alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").drop("h")
+    made = Staged(frames(docs, end_id, vocabulary, id_col, text_col), "token-frames")
+    rows = made.df.withColumn("n", F.monotonically_increasing_id())  # so that rows which repeat an id may lie in several files
+    rows = rows.repartitionByRange("doc_id", "checksum", "n").sortWithinPartitions("doc_id", "checksum", "n").drop("n")
     files = stage(rows.mapInArrow(write, "path string, part long, documents long, tokens long"), "token-manifest")
+    made.drop()
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 

@@ -3,26 +3,33 @@
 Byte-level BPE never joins a piece across a step from a non-space character to a space, so
 a text may be cut at every blank or line feed that follows a non-space character and the
 chunks (each with its leading blank) encoded on their own: the ids are the same as those of
-the whole text.  Chunks repeat a lot, so most are looked up instead of encoded again.
+the whole text.  Chunks repeat a lot, so each distinct one of a piece of a batch is looked
+up once, and ids of occurrences are gathered by position.
+
+By default a text is encoded as the library does it: the name of a special token inside a
+text becomes that token.  ``plain=True`` reads such names as ordinary text.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from . import textual
+from .textual import Parts, chunks, gathered
 
 os.environ.setdefault("RAYON_NUM_THREADS", "1")
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "byte_bpe_50k.json"
-MEMO = 1_000_000  # chunks a worker remembers; others are encoded anew in each batch
-_DOUBLE = re.compile(r"\s[ \n]")
-_STEP = re.compile(r"(?<=\S)(?=[ \n])")
-_loaded: dict[str, "Encoder"] = {}
+#: what a worker remembers at most before it forgets rare chunks: chunks, and their characters
+MEMO, MEMO_CHARS = 700_000, 12_000_000
+_loaded: dict[tuple[str, bool], "Encoder"] = {}
 
 
 def vocabulary_path(name: str) -> str:
@@ -34,85 +41,115 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def chunks(text: str) -> list[str]:
-    if "\x00" in text or _DOUBLE.search(text):
-        return _STEP.split(text)
-    return text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
-
-
 class Encoder:
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
         n = self.tokenizer.get_vocab_size()
         #: bytes of each id; in the byte alphabet a character stands for a byte
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(n)], np.int64)
-        self.memo: dict[str, bytes] = {}
-
-    def _each(self, found: list[str]) -> dict[str, bytes]:
-        got = self.tokenizer.encode_batch_fast(found, add_special_tokens=False)
-        return {c: array("I", e.ids).tobytes() for c, e in zip(found, got, strict=True)}
-
-    def _new(self, found: list[str]) -> dict[str, bytes]:
-        """Ids of chunks.  Chunks that lead with a blank and end with another character keep
-        their ids when strung together, so they are encoded by the thousand and cut apart
-        again where the ids' bytes meet the chunks' ends."""
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.chars = self.used = 0
+        self.ids = np.empty(1 << 16, np.uint32)
+        self.starts, self.lengths, self.seen = (np.zeros(1 << 14, np.int64) for _ in range(3))
+
+    def _forget_rare(self) -> None:
+        """Keep the chunks seen in most pieces of batches, half of what may be kept at most."""
+        found, seen = list(self.place), self.seen[: len(self.place)]
+        least = max(2, int(np.partition(seen, len(seen) // 2)[len(seen) // 2]) + 1)
+        kept = np.flatnonzero(seen >= least)
+        starts, lengths, ids = self.starts[kept], self.lengths[kept], self.ids
+        self.forget()
+        if len(kept):
+            ids, _ = gathered(ids, starts, lengths)
+            self._add([found[k] for k in kept.tolist()], ids, lengths)
+            self.chars = sum(map(len, self.place))
+
+    def _each(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter((i for e in got for i in e), np.uint32, int(lengths.sum())), lengths
+
+    def _cut(self, found: list[str], ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks that lead with a blank and end with another character keep their ids when
+        strung together; they are cut apart where the ids' bytes meet the chunks' ends."""
+        out = np.array(ids, np.uint32)
+        ends = np.cumsum(pc.binary_length(pa.array(found, pa.string())).to_numpy().astype(np.int64))
+        reached = np.cumsum(self.bytes_of[out])
+        cuts = np.searchsorted(reached, ends)
+        if not len(reached) or reached[-1] != ends[-1] or not np.array_equal(reached[cuts], ends):
+            return self._each(found)
+        return out, np.diff(cuts, prepend=-1)
+
+    def _encoded(self, found: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         alone = [c for c in found if c[:1] not in (" ", "\n") or c[-1].isspace()]
         strung = [c for c in found if c[:1] in (" ", "\n") and not c[-1].isspace()]
-        out = self._each(alone) if alone else {}
-        parts = [strung[k : k + 1000] for k in range(0, len(strung), 1000)]
-        if not parts:
-            return out
-        for part, e in zip(parts, self.tokenizer.encode_batch_fast(["".join(x) for x in parts], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.uint32)
-            ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in part])
-            reached = np.cumsum(self.bytes_of[ids])
-            cuts = np.searchsorted(reached, ends)
-            if reached[-1] != ends[-1] or not np.array_equal(reached[cuts], ends):
-                out |= self._each(part)
-                continue
-            data, edges = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
-            out.update((c, data[x:y]) for c, x, y in zip(part, edges, edges[1:]))
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        return self.joined([chunks(t) for t in texts])
-
-    def joined(self, lists: list[list[str]]) -> list[bytes]:
-        got = [list(map(self.memo.get, x)) for x in lists]
-        missing = {c for x, g in zip(lists, got, strict=True) if None in g for c, v in zip(x, g, strict=True) if v is None}
-        if not missing:
-            return [b"".join(g) for g in got]
-        new = self._new([c for c in missing if c])
-        new[""] = b""
-        if len(self.memo) + len(new) <= MEMO:
-            self.memo.update((c, v) for c, v in new.items() if len(c) <= 48)
-        return [b"".join([new[c] if v is None else v for c, v in zip(x, g, strict=True)]) if None in g else b"".join(g) for x, g in zip(lists, got, strict=True)]
-
-
-def encoder(vocabulary: str = VOCABULARY) -> Encoder:
+        parts = [strung[k : k + 500] for k in range(0, len(strung), 500)]
+        for at in range(0, len(parts), 50):
+            some = parts[at : at + 50]
+            for part, e in zip(some, self.tokenizer.encode_batch_fast(["".join(x) for x in some], add_special_tokens=False), strict=True):
+                yield part, *self._cut(part, e.ids)
+        for at in range(0, len(alone), 10_000):
+            yield alone[at : at + 10_000], *self._each(alone[at : at + 10_000])
+
+    def _add(self, part: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, used = len(self.place), self.used
+        if used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids[:used], np.empty(max(used, len(ids)) + len(ids), np.uint32)))
+        if n + len(part) > len(self.starts):
+            more = np.zeros(n + len(part), np.int64)
+            self.starts, self.lengths, self.seen = (np.concatenate((x[:n], more)) for x in (self.starts, self.lengths, self.seen))
+        self.ids[used : used + len(ids)] = ids
+        self.lengths[n : n + len(part)] = lengths
+        self.starts[n : n + len(part)] = used + np.cumsum(lengths) - lengths
+        self.used += len(ids)
+        self.place.update(zip(part, range(n, n + len(part))))
+
+    def parts(self, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one behind the other, and the offsets of the texts."""
+        found = parts.distinct.to_numpy(zero_copy_only=False).tolist()
+        at = list(map(self.place.get, found))
+        if None in at:
+            new = [c for c, x in zip(found, at, strict=True) if x is None]
+            chars = sum(map(len, new))
+            if self.place and (len(self.place) + len(new) > MEMO or self.chars + chars > MEMO_CHARS):
+                self._forget_rare()
+                new = [c for c in found if c not in self.place]
+                chars = sum(map(len, new))
+            self.chars += chars
+            for some, ids, lengths in self._encoded(new):
+                self._add(some, ids, lengths)
+            at = list(map(self.place.__getitem__, found))
+        at = np.array(at, np.int64)
+        self.seen[at] += 1
+        at = at[parts.codes]
+        ids, ends = gathered(self.ids, self.starts[at], self.lengths[at])
+        return ids, np.r_[0, ends][parts.offsets]
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty) one behind the other, each with ``end_id`` behind
+        its own, and the offsets of the texts."""
+        ids, offsets = self.parts(chunks(texts))
+        if end_id is not None:
+            ids = np.insert(ids, offsets[1:], end_id)
+            offsets = offsets + np.arange(len(offsets))
+        return ids, offsets
+
+
+def encoder(vocabulary: str = VOCABULARY, plain: bool = False) -> Encoder:
     """The worker's encoder; it outlives tasks, as Spark reuses Python workers."""
-    if vocabulary not in _loaded:
-        _loaded[vocabulary] = Encoder(vocabulary)
-    return _loaded[vocabulary]
+    if (vocabulary, plain) not in _loaded:
+        _loaded[vocabulary, plain] = Encoder(vocabulary, plain)
+    return _loaded[vocabulary, plain]
 
 
-def crc(data: bytes) -> int:
+def crc(data) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 
 
-def slices(batch, rows: int = 256, chars: int = 4_000_000):
-    """Python rows of an Arrow batch, a bounded piece at a time."""
-    part, size = [], 0
-    for at in range(0, batch.num_rows, rows):
-        for r in batch.slice(at, rows).to_pylist():
-            part.append(r)
-            size += len(r.get("text") or "")
-            if len(part) >= rows or size >= chars:
-                yield part
-                part, size = [], 0
-    if part:
-        yield part
+pieces = textual.pieces

@@ -2,21 +2,24 @@
 
 import hashlib
 import io
+import random
 import zlib
 from array import array
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
-from gridloom.llm import packing, token_files, tokens, warc
+from gridloom.llm import packing, textual, token_files, tokens, warc
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    return tokens.Encoder(tokens.VOCABULARY).tokenizer
+    return Tokenizer.from_file(tokens.vocabulary_path(tokens.VOCABULARY))
 
 
 def test_warc_round_trip(spark):
@@ -49,12 +52,53 @@ def test_damaged_archives_raise():
         list(warc.read_records(io.BytesIO(record(b"abc", "0" * 64))))
 
 
+SPECIAL = "<|endoftext|>"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([SPECIAL, " ", "\n", "a", "Ab", "'s", ".", "1", "\t", "\x0b", "\x00", "\x01", "\x1c", "\x85", "\u3000", "\xa0", "é", "ß", "zqx", "<|", "漢"]), max_size=25).map("".join), max_size=6))
+def test_ids_are_those_of_the_plain_library(tokenizer, texts):
+    ids, offsets = tokens.encoder().encode(pa.array([*texts, None], pa.string()), 7)
+    got = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+    assert got == [[*tokenizer.encode(t, add_special_tokens=False).ids, 7] for t in [*texts, ""]]
+
+
+def test_many_random_texts_with_special_tokens(tokenizer):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeéßz'-.,1") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words) if rng.random() < 0.9 else rng.choice([SPECIAL, SPECIAL + SPECIAL, "x" + SPECIAL, SPECIAL + "y", "\n", ""]) for _ in range(rng.randint(0, 30))) for _ in range(10_000)]
+    enc = tokens.Encoder(tokens.VOCABULARY)
+    for some in (texts[:5000], texts[5000:]):  # the second part meets a memo
+        ids, offsets = enc.encode(pa.array(some))
+        want = [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+
+
+def test_plain_reading_of_special_names():
+    ids, _ = tokens.encoder(plain=True).encode(pa.array(["a " + SPECIAL]))
+    assert 50256 not in ids and 50256 in tokens.encoder().encode(pa.array(["a " + SPECIAL]))[0]
+
+
+def test_a_full_memo_keeps_ids_right(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO", 50)
+    rng = random.Random(9)
+    enc = tokens.Encoder(tokens.VOCABULARY)
+    for _ in range(30):
+        texts = [" ".join(str(rng.randrange(80)) + "x" for _ in range(10)) for _ in range(5)]
+        ids, offsets = enc.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(enc.place) <= 100
+
+
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="ab 's.1\n\t\x0b\x00\x1c\x85 　éßA", max_size=40))
-def test_chunks_join_to_the_text_and_ids_agree(text):
-    assert "".join(tokens.chunks(text)) == text
-    enc = tokens.encoder()
-    assert enc.encode([text])[0] == array("I", enc.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+@given(st.lists(st.text(alphabet="aB é\n\t\x0b\x0c\r\x1c\x85\u3000", max_size=20), max_size=5))
+def test_words_and_pieces(texts):
+    parts = textual.ascii_words(pa.array([*texts, None], pa.string()))
+    names = parts.distinct.to_pylist()
+    got = [[names[c].encode() for c in parts.codes[a:b]] for a, b in zip(parts.offsets, parts.offsets[1:])]
+    assert got == [t.encode().lower().split() for t in [*texts, ""]]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    assert [t for p in textual.pieces(batch, rows=2, size=9) for t in p.column("text").to_pylist()] == texts
 
 
 def ids_of(tokenizer, text, end):
