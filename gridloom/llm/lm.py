@@ -1,11 +1,12 @@
 """Language-model scoring: a causal self-attention model in numpy over subword ids.
 
 Text form: A-Z in lower case, words split at ASCII white space, each word encoded with a
-leading blank, then one end id.  The model predicts the class of the next id (the most
-frequent ids are classes of their own, the rest share classes by frequency and by whether
-they begin a word) and an id inside its class by its smoothed share there, so every id has
-a probability and all of them sum to one.  Classes are predicted in two steps, a group and
-a member of the group.
+leading blank (names of special tokens are ordinary text), then one end id behind the
+vocabulary's own.  The network predicts the class of the next id (the most frequent ids are
+classes of their own, the rest share classes by frequency and by whether they begin a word)
+and an id inside its class by its smoothed share there, so every id has a probability and
+all of them sum to one.  Classes are predicted in two steps, a group and a member of the
+group; a group holds only classes that begin a word or only classes that do not.
 
 Network: class embeddings, one attention head with a learned bias per distance, a small
 rectified layer, and direct paths from the last two classes whose tables are set in closed
@@ -13,10 +14,17 @@ form from the counts of all training documents and scaled by learned factors.  S
 walks over windows of two blocks that overlap by one; each window scores its second block
 with the first as context, so each id is scored once.
 
+Words: the network's probability of a whole word is that of its ids and of a word's end
+behind them, given that a word begins; it is mixed (``known_part``) with the share of the
+word among all training tokens, for the ``frequent`` most frequent words.  Both are
+distributions over words, so the score is a log probability.
+
 Learning: word, id and class-pair counts cover every training document, and so do the
-attention weights: Adam takes each training row once, in ``rounds`` rounds of local steps
-whose weights are averaged (rows are dealt to rounds by row id; a ``share`` above 1 would
-leave rows out).  Texts are encoded once; later passes read the staged ids.
+attention weights.  Training rows are dealt by a hash of the row to rounds and, inside a
+round, to shards of about ``shard_tokens`` ids; a shard is sorted by that hash and passed
+once by Adam, whose state lasts through the shard while its batches grow; a round starts
+from the average of the last one.  So the weights do not depend on how the table is
+partitioned (but for rounding).  Texts are encoded once; later passes read the staged ids.
 
 Base score: add-one word unigrams.  The ``frequent`` most frequent words are counted where
 the text is read; occurrences of all others are joined with the table of counts (no such
@@ -34,67 +42,96 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import col, ship, stage, table
-from .tokens import VOCABULARY, encoder, slices
+from .textual import Parts, ascii_words, gathered, pieces
+from .tokens import VOCABULARY, encoder
 
-IDS, END = 50257, 50256
 GROUPS = 32
-CLASSES, BANDS = GROUPS * GROUPS, 16
-OWN = CLASSES - 2 * BANDS
+CLASSES = GROUPS * GROUPS
+OWN = CLASSES - 2 * GROUPS
 BLOCK, WIDTH, HIDDEN = 16, 16, 32
-CHUNK = 384  # windows scored at once
-
-
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+CHUNK = 128  # blocks scored at once
 
 
-def word_key(w: bytes) -> int:
-    """Signed 64-bit hash of a word."""
-    x = xxhash.xxh3_64_intdigest(w)
-    return x - (1 << 64) if x >> 63 else x
+def word_keys(names: pa.Array) -> np.ndarray:
+    """Signed 64-bit hashes of words."""
+    found = names.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)).view(np.int64)
 
 
 def held_out(doc_id: int | None, modulus: int = 7, remainder: int = 2) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % modulus == remainder
 
 
-def sequences(bags: list[list[bytes]], vocabulary: str) -> list[np.ndarray]:
-    """Ids of each text, the end included."""
-    end = np.array([END], np.uint32).tobytes()
-    ids = encoder(vocabulary).joined([[" " + w.decode("utf-8", "surrogatepass") for w in bag] for bag in bags])
-    return [np.frombuffer(x + end, np.uint32) for x in ids]
+def id_type(ids: int) -> type:
+    return np.uint16 if ids <= 1 << 16 else np.uint32
+
+
+def id_count(vocabulary: str) -> int:
+    """Ids of the vocabulary and one more, the last, for a text's end."""
+    return encoder(vocabulary, plain=True).tokenizer.get_vocab_size() + 1
+
+
+class Encoded(NamedTuple):
+    """Ids of texts one behind the other, ends included, with the texts' offsets; the number
+    of ids of every word (an end is a word), with the texts' offsets among the words."""
+
+    ids: np.ndarray
+    offsets: np.ndarray
+    sizes: np.ndarray
+    word_offsets: np.ndarray
+
+
+def sequences(parts: Parts, vocabulary: str, end: int) -> Encoded:
+    enc = encoder(vocabulary, plain=True)
+    led = pc.binary_join_element_wise(pa.scalar(" "), parts.distinct, "")
+    starts, sizes = enc.located(parts._replace(distinct=led))
+    ids, ends = gathered(enc.ids, starts, sizes)
+    offsets = np.r_[0, ends][parts.offsets]
+    more = np.arange(len(offsets))
+    return Encoded(np.insert(ids, offsets[1:], end), offsets + more, np.insert(sizes, parts.offsets[1:], 1), parts.offsets + more)
 
 
 class Classes:
-    """Classes of ids from their counts, and the log share of each id in its class."""
+    """Classes of ids from their counts, and the log share of each id in its class.
+
+    ``starts`` marks the ids that begin a word; classes of such ids fill the first
+    ``start_groups`` groups.
+    """
 
     def __init__(self, counts: np.ndarray, starts: np.ndarray):
-        order = np.lexsort((np.arange(IDS), -counts))
-        raw = np.empty(IDS, np.int64)
-        raw[order[:OWN]] = np.arange(OWN)
-        for begins in (0, 1):
-            rest = order[OWN:][starts[order[OWN:]] == begins]
-            mass = np.cumsum(counts[rest] + 1.0)
-            raw[rest] = OWN + begins * BANDS + np.minimum((mass / mass[-1] * BANDS).astype(np.int64), BANDS - 1)
-        begin_of = np.r_[starts[order[:OWN]], np.repeat([0, 1], BANDS)]
-        place = np.empty(CLASSES, np.int64)  # groups hold classes alike in beginning a word and in frequency
-        place[np.lexsort((np.arange(CLASSES), begin_of))] = np.arange(CLASSES)
-        self.of = place[raw]
+        ids = len(counts)
+        order = np.lexsort((np.arange(ids), -counts))
+        own, rest = order[:OWN], order[OWN:]
+        n_start = int(starts[own].sum())
+        bands = GROUPS // 2 + (-n_start - GROUPS // 2) % GROUPS  # so that a whole number of groups is filled
+        self.of = np.empty(ids, np.int64)
+        at = 0
+        for begins, n in ((1, bands), (0, CLASSES - OWN - bands)):
+            mine = own[starts[own] == begins]
+            self.of[mine] = at + np.arange(len(mine))
+            others = rest[starts[rest] == begins]
+            mass = np.cumsum(counts[others] + 1.0)
+            if len(others):
+                self.of[others] = at + len(mine) + np.minimum((mass / mass[-1] * n).astype(np.int64), n - 1)
+            at += len(mine) + n
+        self.end, self.start_groups = int(self.of[-1]), (n_start + bands) // GROUPS
         total = np.bincount(self.of, counts + 1.0, CLASSES)
         self.share = np.log((counts + 1.0) / total[self.of])
 
 
 def word_starts(vocabulary: str) -> np.ndarray:
-    t = encoder(vocabulary).tokenizer
-    return np.array([(t.id_to_token(i) or "").startswith("Ġ") for i in range(IDS)], np.int64)
+    t = encoder(vocabulary, plain=True).tokenizer
+    return np.array([*((t.id_to_token(i) or "").startswith("Ġ") for i in range(id_count(vocabulary) - 1)), True], np.int64)
 
 
 class Tables:
@@ -144,27 +181,36 @@ def unpack_weights(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def windows(seqs: list[np.ndarray], end_class: int) -> tuple[np.ndarray, ...]:
-    """Class sequences as blocks: inputs of the block before and of the block itself, the
-    classes two places back, the targets (-1 beyond a text's end) and whether a block is
-    its text's first."""
-    n_blocks = [-(-len(s) // BLOCK) for s in seqs]
-    total = sum(n_blocks)
-    inputs, targets = np.zeros(total * BLOCK, np.int64), np.full(total * BLOCK, -1, np.int64)
+class Blocks(NamedTuple):
+    """Class sequences cut into blocks, one text behind the other: inputs, the classes two
+    places back, the targets (-1 beyond a text's end), and whether a block is its text's
+    first.  The context of a block is the block before it."""
+
+    cur: np.ndarray
+    back: np.ndarray
+    targets: np.ndarray
+    first: np.ndarray
+
+    def part(self, lo: int, hi: int) -> Blocks:
+        return Blocks(*(x[lo:hi] for x in self))
+
+
+def blocked(classes: np.ndarray, offsets: np.ndarray, end_class: int) -> tuple[Blocks, np.ndarray]:
+    """Blocks of texts, and the place of every id among the blocks' targets."""
+    n = np.diff(offsets)
+    n_blocks = -(-n // BLOCK)
+    total = int(n_blocks.sum())
+    at = np.cumsum(n_blocks) - n_blocks
+    place = np.arange(len(classes)) + np.repeat(at * BLOCK - offsets[:-1], n)
+    inputs, targets = np.zeros(total * BLOCK, np.int32), np.full(total * BLOCK, -1, np.int32)
+    targets[place] = classes
+    inputs[1:] = np.maximum(targets[:-1], 0)
+    inputs[at * BLOCK] = end_class
+    back = np.roll(inputs, 1)
+    back[at * BLOCK] = end_class
     first = np.zeros(total, bool)
-    at = 0
-    for s, n in zip(seqs, n_blocks, strict=True):
-        a = at * BLOCK
-        inputs[a] = end_class
-        inputs[a + 1 : a + len(s)] = s[:-1]
-        targets[a : a + len(s)] = s
-        first[at] = True
-        at += n
-    cur = inputs.reshape(total, BLOCK)
-    prev = np.roll(cur, 1, axis=0)
-    back = np.roll(inputs, 1).reshape(total, BLOCK)
-    back[first, 0] = end_class
-    return prev, cur, back, targets.reshape(total, BLOCK), first
+    first[at] = True
+    return Blocks(inputs.reshape(total, BLOCK), back.reshape(total, BLOCK), targets.reshape(total, BLOCK), first), place
 
 
 _LAG = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None]  # distance from query to key
@@ -178,14 +224,6 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log probability of one entry per row."""
-    np.minimum(x, 80, out=x)
-    chosen = x[np.arange(len(at)), at].astype(np.float64)
-    np.exp(x, out=x)
-    return chosen - np.log(x.sum(1))
-
-
 class Network:
     def __init__(self, weights: dict[str, np.ndarray], tables: Tables):
         self.w, self.t = weights, tables
@@ -193,95 +231,148 @@ class Network:
         self.q, self.k, self.v = e @ weights["wq"] / np.float32(math.sqrt(WIDTH)), e @ weights["wk"], e @ weights["wv"]
         self.near = np.where(_SEEN, weights["far"][_FAR], np.float32(-1e9))
 
-    def forward(self, prev, cur, back, targets, first) -> dict[str, np.ndarray]:
+    def forward(self, b: Blocks) -> dict[str, np.ndarray]:
+        """Of all blocks but the first, which is context only.  What concerns members of
+        groups is in the order ``order``, by group."""
         w, t = self.w, self.t
-        keys = np.concatenate((prev, cur), 1)
-        a = self.q[cur] @ self.k[keys].transpose(0, 2, 1)
+        cur, first = b.cur[1:], b.first[1:]
+        k, v = self.k[b.cur], self.v[b.cur]
+        keys, values = np.concatenate((k[:-1], k[1:]), 1), np.concatenate((v[:-1], v[1:]), 1)
+        q = self.q[cur]
+        a = q @ keys.transpose(0, 2, 1)
         a += self.near
         a[first, :, :BLOCK] = -1e9  # masked: the block before belongs to another text
         a = _softmax(a)
-        values = self.v[keys]
-        h = (w["emb"][cur] + a @ values).reshape(-1, WIDTH)
+        e = w["emb"][cur].reshape(-1, WIDTH)
+        h = e + (a @ values).reshape(-1, WIDTH)
         u = h @ w["w1"] + w["b1"]
         r = np.maximum(u, 0)
         h2 = h + r @ w["w2"]
-        last, before, goal = cur.ravel(), back.ravel(), np.maximum(targets.ravel(), 0)
+        last, before, goal = cur.ravel(), b.back[1:].ravel(), np.maximum(b.targets[1:].ravel(), 0)
         group = goal // GROUPS
         g1, g2 = t.group1[last], t.group2[before]
-        logit_g = h2 @ w["group"] + w["scale"][0] * g1 + w["scale"][1] * g2
-        m1, m2 = t.member1[last * GROUPS + group], t.member2[before * GROUPS + group]
-        logit_m = w["scale"][2] * m1 + w["scale"][3] * m2
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        spans = [(k, order[edges[k] : edges[k + 1]]) for k in range(GROUPS) if edges[k] < edges[k + 1]]
-        for k, rows in spans:
-            logit_m[rows] += h2[rows] @ w["member"][k]
-        return {"keys": keys, "a": a, "values": values, "h": h, "u": u, "r": r, "h2": h2, "goal": goal, "group": group, "g1": g1, "g2": g2, "m1": m1, "m2": m2, "lg": logit_g, "lm": logit_m, "spans": spans}
-
-    def log_probs(self, prev, cur, back, targets, first) -> np.ndarray:
-        """Log probability of each target class (0 beyond a text's end)."""
-        out = np.zeros(targets.size)
-        for at in range(0, len(cur), CHUNK):
-            x = slice(at, at + CHUNK)
-            f = self.forward(prev[x], cur[x], back[x], targets[x], first[x])
-            t = targets[x].ravel()
-            lp = _picked(f["lg"], f["group"]) + _picked(f["lm"], f["goal"] % GROUPS)
-            out[at * BLOCK : at * BLOCK + len(t)] = np.where(t >= 0, lp, 0)
-        return out.reshape(targets.shape)
-
-    def gradient(self, prev, cur, back, targets, first) -> dict[str, np.ndarray]:
-        """Gradient of the mean negative log probability."""
+        lg = h2 @ w["group"]
+        lg += w["scale"][0] * g1
+        lg += w["scale"][1] * g2
+        order = np.argsort(group.astype(np.int16), kind="stable")
+        group_by, hs = group[order], h2[order]
+        m1, m2 = t.member1[last[order] * GROUPS + group_by], t.member2[before[order] * GROUPS + group_by]
+        lm = w["scale"][2] * m1
+        lm += w["scale"][3] * m2
+        edges = np.searchsorted(group_by, np.arange(GROUPS + 1))
+        spans = [(i, slice(edges[i], edges[i + 1])) for i in range(GROUPS) if edges[i] < edges[i + 1]]
+        for i, s in spans:
+            lm[s] += hs[s] @ w["member"][i]
+        return {"q": q, "keys": keys, "values": values, "a": a, "e": e, "h": h, "u": u, "r": r, "h2": h2, "hs": hs, "group": group, "goal": goal, "g1": g1, "g2": g2, "m1": m1, "m2": m2, "lg": lg, "lm": lm, "order": order, "member": goal[order] % GROUPS, "spans": spans}
+
+    def log_probs(self, blocks: Blocks, start_groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of each target class (0 beyond a text's end), and of any class of
+        the first groups there."""
+        out, begins = np.zeros(blocks.targets.shape), np.zeros(blocks.targets.shape)
+        n = len(blocks.cur)
+        lead = Blocks(*(np.concatenate((x[:1], x)) for x in blocks))  # the first block has none before it
+        for at in range(0, n, CHUNK):
+            x = lead.part(at, min(at + CHUNK, n) + 1)
+            f = self.forward(x)
+            rows = np.arange(len(f["group"]))
+            lg, lm = (np.minimum(f[k], 80, out=f[k]) for k in ("lg", "lm"))
+            lp = lg[rows, f["group"]].astype(np.float64)
+            chosen = lm[rows, f["member"]].astype(np.float64)
+            chosen -= np.log(np.exp(lm, out=lm).sum(1))
+            lp[f["order"]] += chosen
+            np.exp(lg, out=lg)
+            whole = np.log(lg.sum(1))
+            real = x.targets[1:] >= 0
+            out[at : at + CHUNK] = np.where(real, (lp - whole).reshape(real.shape), 0)
+            begins[at : at + CHUNK] = (np.log(lg[:, :start_groups].sum(1)) - whole).reshape(real.shape)
+        return out, begins
+
+    def gradient(self, b: Blocks) -> dict[str, np.ndarray]:
+        """Gradient of the mean negative log probability of all blocks but the first."""
         w = self.w
-        f = self.forward(prev, cur, back, targets, first)
-        valid = (targets.ravel() >= 0).astype(np.float32)
+        f = self.forward(b)
+        valid = (b.targets[1:].ravel() >= 0).astype(np.float32)
         weight = (valid / max(1, valid.sum()))[:, None]
-        rows = np.arange(len(valid))
+        rows, order = np.arange(len(valid)), f["order"]
         dg, dm = _softmax(f["lg"]), _softmax(f["lm"])
         dg[rows, f["group"]] -= 1
-        dm[rows, f["goal"] % GROUPS] -= 1
+        dm[rows, f["member"]] -= 1
         dg *= weight
-        dm *= weight
-        h, h2, a, keys = f["h"], f["h2"], f["a"], f["keys"]
-        g = {"group": h2.T @ dg, "member": np.zeros(SHAPES["member"])}
-        g["scale"] = np.array([(dg * f["g1"]).sum(), (dg * f["g2"]).sum(), (dm * f["m1"]).sum(), (dm * f["m2"]).sum()])
+        dm *= weight[order]
+        h, h2, hs, a = f["h"], f["h2"], f["hs"], f["a"]
+        g = {"group": h2.T @ dg, "member": np.zeros(SHAPES["member"], np.float32)}
+        g["scale"] = np.array([np.vdot(dg, f["g1"]), np.vdot(dg, f["g2"]), np.vdot(dm, f["m1"]), np.vdot(dm, f["m2"])])
+        dhs = np.empty_like(hs)
+        for i, s in f["spans"]:
+            g["member"][i] = hs[s].T @ dm[s]
+            dhs[s] = dm[s] @ w["member"][i].T
         dh2 = dg @ w["group"].T
-        for k, at in f["spans"]:
-            g["member"][k] = h2[at].T @ dm[at]
-            dh2[at] += dm[at] @ w["member"][k].T
+        dh2[order] += dhs
         g["w2"] = f["r"].T @ dh2
         du = (dh2 @ w["w2"].T) * (f["u"] > 0)
         g["w1"], g["b1"] = h.T @ du, du.sum(0)
         dh = dh2 + du @ w["w1"].T
-        dz = dh.reshape(*cur.shape, WIDTH)
+        dz = dh.reshape(-1, BLOCK, WIDTH)
         da = dz @ f["values"].transpose(0, 2, 1)
         ds = a * (da - (da * a).sum(-1, keepdims=True))
         g["far"] = np.bincount(_FAR.ravel(), np.where(_SEEN, ds.sum(0), 0).ravel(), 2 * BLOCK)
-        flat, own = keys.ravel(), cur.ravel()
 
-        def summed(rows_of: np.ndarray, x: np.ndarray) -> np.ndarray:
-            return np.stack([np.bincount(rows_of, x[:, i], CLASSES) for i in range(WIDTH)], 1)
-
-        dvt = summed(flat, (a.transpose(0, 2, 1) @ dz).reshape(-1, WIDTH))
-        dq = summed(own, (ds @ self.k[keys]).reshape(-1, WIDTH)) / math.sqrt(WIDTH)
-        dk = summed(flat, (ds.transpose(0, 2, 1) @ self.q[cur]).reshape(-1, WIDTH))
-        e = w["emb"]
-        g["wv"], g["wq"], g["wk"] = e.T @ dvt, e.T @ dq, e.T @ dk
-        g["emb"] = summed(own, dh) + dvt @ w["wv"].T + dq @ w["wq"].T + dk @ w["wk"].T
+        def per_input(x: np.ndarray) -> np.ndarray:
+            """Sums, per input of all blocks, of what it got as context and as part of its own block."""
+            out = np.zeros((len(b.cur), BLOCK, WIDTH), x.dtype)
+            out[:-1] = x[:, :BLOCK]
+            out[1:] += x[:, BLOCK:]
+            return out.reshape(-1, WIDTH)
+
+        dv, dk = per_input(a.transpose(0, 2, 1) @ dz), per_input(ds.transpose(0, 2, 1) @ f["q"])
+        dq = (ds @ f["keys"]).reshape(-1, WIDTH) / np.float32(math.sqrt(WIDTH))
+        own = b.cur.ravel()
+        e = w["emb"][own]
+        g["wv"], g["wk"], g["wq"] = e.T @ dv, e.T @ dk, f["e"].T @ dq
+        de = dv @ w["wv"].T + dk @ w["wk"].T
+        de[BLOCK:] += dh + dq @ w["wq"].T
+        g["emb"] = np.stack([np.bincount(own, de[:, i], CLASSES) for i in range(WIDTH)], 1)
         return g
 
 
-def train(weights: dict[str, np.ndarray], tables: Tables, blocks: tuple, rate: float = 0.01, batch: int = 128, seed: int = 1) -> dict[str, np.ndarray]:
-    """One pass of Adam over the windows in a random order."""
-    flat = pack_weights(weights).astype(np.float64)
-    m, v = np.zeros_like(flat), np.zeros_like(flat)
-    order = np.random.default_rng(seed).permutation(len(blocks[0]))
-    for step, at in enumerate(range(0, len(order), batch), 1):
-        part = order[at : at + batch]
-        g = Network(unpack_weights(flat), tables).gradient(*(x[part] for x in blocks))
-        g = np.concatenate([np.asarray(g[k], np.float64).ravel() for k in SHAPES])
-        m, v = 0.9 * m + 0.1 * g, 0.98 * v + 0.02 * g * g
-        flat -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.98**step)) + 1e-7)
-    return unpack_weights(flat)
+class Trainer:
+    """Adam over blocks in the order they come; batches grow as the steps do."""
+
+    def __init__(self, weights: dict[str, np.ndarray], tables: Tables, rate: float = 0.01, least: int = 32, most: int = 512):
+        self.flat, self.tables, self.rate, self.least, self.most = pack_weights(weights).astype(np.float32), tables, rate, least, most
+        self.m, self.v, self.step, self.seen = np.zeros_like(self.flat), np.zeros_like(self.flat), 0, 0
+        self.pending: list[Blocks] = []
+        self.waiting = 0
+
+    def feed(self, blocks: Blocks, last: bool = False) -> None:
+        self.pending.append(blocks)
+        self.waiting += len(blocks.cur)
+        if self.waiting < 4 * self.most and not last:
+            return
+        all_ = Blocks(*(np.concatenate(x) for x in zip(*self.pending, strict=True)))
+        n = len(all_.cur)
+        at = 1 if self.seen else 0  # the first of the pending blocks has been learned from already
+        if not self.seen and n:
+            all_ = Blocks(*(np.concatenate((x[:1], x)) for x in all_))
+            at, n = 1, n + 1
+        while at < n:
+            size = min(self.most, self.least << (self.step // 100))
+            if at + size > n and not last:
+                break
+            self._learn(all_.part(at - 1, min(at + size, n)))
+            at += size
+        self.pending = [all_.part(min(at, n) - 1, n)] if n else []
+        self.waiting = len(self.pending[0].cur) if n else 0
+
+    def _learn(self, b: Blocks) -> None:
+        self.step += 1
+        self.seen += int((b.targets[1:] >= 0).sum())
+        g = Network(unpack_weights(self.flat), self.tables).gradient(b)
+        g = np.concatenate([np.asarray(g[k], np.float32).ravel() for k in SHAPES])
+        self.m += np.float32(0.1) * (g - self.m)
+        self.v += np.float32(0.02) * (g * g - self.v)
+        rate = self.rate * min(1.0, 3.0 / math.sqrt(1 + self.step / 20))
+        self.flat -= np.float32(rate / (1 - 0.9**self.step)) * self.m / (np.sqrt(self.v / np.float32(1 - 0.98**self.step)) + np.float32(1e-7))
 
 
 class Model:
@@ -290,14 +381,24 @@ class Model:
     def __init__(self, classes: Classes, weights: dict[str, np.ndarray], tables: Tables):
         self.classes, self.network = classes, Network(weights, tables)
 
-    def score(self, seqs: list[np.ndarray]) -> list[float]:
-        """log10 probability of each id sequence."""
-        of, share = self.classes.of, self.classes.share
-        blocks = windows([of[s] for s in seqs], int(of[END]))
-        sums = self.network.log_probs(*blocks).sum(1)
-        ends = np.cumsum([-(-len(s) // BLOCK) for s in seqs])
-        per_text = np.add.reduceat(sums, np.r_[0, ends[:-1]])
-        return [(float(x) + float(share[s].sum())) / math.log(10) for x, s in zip(per_text, seqs, strict=True)]
+    def words(self, ids: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, word_offsets: np.ndarray) -> np.ndarray:
+        """Log probability of every word, given what is before it and that a word begins."""
+        blocks, place = blocked(self.classes.of[ids], offsets, self.classes.end)
+        lp, begins = (x.ravel()[place] for x in self.network.log_probs(blocks, self.classes.start_groups))
+        at = np.cumsum(sizes) - sizes
+        out = np.bincount(np.repeat(np.arange(len(sizes)), sizes), lp + self.classes.share[ids], len(sizes))
+        begins = begins[at]
+        behind = np.r_[begins[1:], 0.0]
+        behind[word_offsets[1:] - 1] = 0  # nothing follows an end
+        return out - begins + behind
+
+    def score(self, ids: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, word_offsets: np.ndarray, known: np.ndarray, known_part: float = 0.0) -> np.ndarray:
+        """log10 probability of each text; ``known``: shares of the words among all tokens."""
+        lp = self.words(ids, offsets, sizes, word_offsets)
+        if known_part:
+            with np.errstate(divide="ignore"):
+                lp = np.logaddexp(lp + math.log1p(-known_part), np.log(known) + math.log(known_part))
+        return np.bincount(np.repeat(np.arange(len(offsets) - 1), np.diff(word_offsets)), lp, len(offsets) - 1) / math.log(10)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -314,16 +415,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             n = np.fromiter(counts.values(), np.int64, len(counts))
-            keys = np.fromiter(map(word_key, counts), np.int64, len(counts))
+            keys = np.fromiter(counts, np.int64, len(counts))
             counts.clear()
             return pa.RecordBatch.from_pydict({"kind": np.zeros(len(n), np.int32), "key": keys, "n": n})
 
         for batch in batches:
-            for rows in slices(batch):
-                for r in rows:
-                    if not held_out(r["doc_id"]):
-                        counts.update(words(r["text"]))
-                        documents += 1
+            for part in pieces(batch):
+                part = part.filter(pa.array([not held_out(i) for i in part.column("doc_id").to_pylist()], pa.bool_()))
+                documents += part.num_rows
+                words = ascii_words(part.column("text"))
+                n = np.bincount(words.codes, minlength=len(words.distinct))
+                real = np.flatnonzero(n)
+                for k, m in zip(word_keys(words.distinct)[real].tolist(), n[real].tolist(), strict=True):
+                    counts[k] += m
                 if len(counts) > 400_000:
                     yield flush()
         yield flush()
@@ -333,61 +437,71 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return stage(out, "lm-counts")
 
 
-def encoded(docs: DataFrame, known: dict[int, int], documents: int, vocabulary: str) -> DataFrame:
-    """Staged rows: ids (16-bit) of every text, the base score's sum over frequent words, and
-    the hashes of all other words."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    end_log = math.log10(documents + 1)
+def encoded(docs: DataFrame, known: pa.Table, documents: int, tokens: int, vocabulary: str) -> DataFrame:
+    """Staged rows: ids of every text, its words' numbers of ids and shares among the
+    training tokens (0 for words that are not frequent), the base score's sum over frequent
+    words, and the hashes of all other words."""
+    order = np.argsort(known.column("key").to_numpy())
+    shared = docs.sparkSession.sparkContext.broadcast((known.column("key").to_numpy()[order], known.column("n").to_numpy()[order]))
+    ids_in_all = id_count(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = {k: math.log10(n + 1) for k, n in shared.value.items()}
-        memo: dict[bytes, int] = {}
+        top, counts = (np.append(x, 0) for x in shared.value)
+        logs, shares = np.log10(counts + 1.0), (counts / max(1, tokens)).astype(np.float32)
         for batch in batches:
-            for rows in slices(batch):
-                bags = [words(r["text"]) for r in rows]
-                new = set().union(*bags).difference(memo)
-                if len(memo) + len(new) > 300_000:
-                    memo.clear()
-                    new = set().union(*bags)
-                memo.update((w, word_key(w)) for w in new)
-                rare, log_sum, n_top = [], [], []
-                for bag in bags:
-                    keys = list(map(memo.__getitem__, bag))
-                    found = list(map(logs.get, keys))
-                    others = [k for k, x in zip(keys, found, strict=True) if x is None]
-                    log_sum.append(math.fsum(x for x in found if x is not None) + end_log)
-                    n_top.append(len(keys) - len(others) + (documents > 0))
-                    rare.append(others)
+            for part in pieces(batch):
+                words = ascii_words(part.column("text"))
+                keys = word_keys(words.distinct)
+                at = np.searchsorted(top[:-1], keys)
+                at = np.where(top[at] == keys, at, len(top) - 1)  # the last entry stands for words that are not frequent
+                of = at[words.codes]
+                others = of == len(top) - 1
+                owner = words.owners()
+                rows = part.num_rows
+                log_top = np.bincount(owner, logs[of], rows) + math.log10(documents + 1)
+                n_other = np.bincount(owner[others], minlength=rows)
+                rare = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n_other)], pa.int32()), pa.array(keys[words.codes[others]]))
+                seq = sequences(words, vocabulary, ids_in_all - 1)
+                known_shares = np.insert(shares[of], words.offsets[1:], documents / max(1, tokens))
+                n_words = np.diff(seq.word_offsets)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()),
-                        "held_out": pa.array([held_out(r["doc_id"]) for r in rows]),
-                        "n_tokens": pa.array([len(bag) + 1 for bag in bags], pa.int64()),
-                        "n_top": pa.array(n_top, pa.int64()),
-                        "log_top": pa.array(log_sum, pa.float64()),
-                        "rare": pa.array(rare, pa.list_(pa.int64())),
-                        "ids": pa.array([s.astype(np.uint16).tobytes() for s in sequences(bags, vocabulary)], pa.binary()),
+                        "doc_id": part.column("doc_id"),
+                        "held_out": pa.array([held_out(i) for i in part.column("doc_id").to_pylist()], pa.bool_()),
+                        "n_tokens": pa.array(n_words, pa.int64()),
+                        "n_top": pa.array(n_words - 1 - n_other + (documents > 0), pa.int64()),
+                        "log_top": pa.array(log_top, pa.float64()),
+                        "rare": rare,
+                        "ids": _binaries(seq.ids.astype(id_type(ids_in_all)), seq.offsets),
+                        "sizes": _binaries(seq.sizes.astype(np.int32), seq.word_offsets),
+                        "known": _binaries(known_shares, seq.word_offsets),
                     }
                 )
 
-    out = docs.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_top long, log_top double, rare array<long>, ids binary")
-    return stage(out.withColumn("row", F.monotonically_increasing_id()), "lm-ids")
+    out = docs.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_top long, log_top double, rare array<long>, ids binary, sizes binary, known binary")
+    out = out.withColumn("row", F.monotonically_increasing_id())
+    return stage(out.withColumn("order", F.xxhash64(F.lit(23), "doc_id", "ids")), "lm-ids")
+
+
+def _binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Runs of an array as binary values."""
+    return pa.array([values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])], pa.binary())
 
 
-def _ids(batch: pa.RecordBatch, rows: int = 256) -> Iterator[list[np.ndarray]]:
-    """Id sequences of a batch, some at a time."""
-    for at in range(0, batch.num_rows, rows):
-        yield [np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("ids").slice(at, rows)]
+def _joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a binary column one behind the other, and the rows' offsets."""
+    sizes = pc.binary_length(column).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), kind), np.r_[0, np.cumsum(sizes)]
 
 
 def _counted(rows: DataFrame, cells: int, count) -> np.ndarray:
-    """Sum over all rows of what ``count(n, ids)`` adds to an array of ``cells``."""
+    """Sum over all rows of what ``count(n, batch)`` adds to an array of ``cells``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(cells, np.int64)
         for batch in batches:
-            for seqs in _ids(batch):
-                count(n, seqs)
+            for part in pieces(batch, "ids", size=1_000_000):
+                count(n, part)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({"key": at, "n": n[at]})
 
@@ -397,50 +511,65 @@ def _counted(rows: DataFrame, cells: int, count) -> np.ndarray:
     return out
 
 
-def id_counts(training: DataFrame) -> np.ndarray:
-    def count(n: np.ndarray, seqs: list[np.ndarray]) -> None:
-        n += np.bincount(np.concatenate(seqs), minlength=IDS)
+def id_counts(training: DataFrame, ids: int) -> np.ndarray:
+    kind = id_type(ids)
 
-    return _counted(training, IDS, count)
+    def count(n: np.ndarray, part: pa.RecordBatch) -> None:
+        n += np.bincount(_joined(part.column("ids"), kind)[0], minlength=ids)
+
+    return _counted(training, ids, count)
 
 
 def pair_counts(training: DataFrame, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
     """Counts of class pairs one and two places apart over all training rows."""
-    of, cells = classes.of, CLASSES * CLASSES
+    cells, kind = CLASSES * CLASSES, id_type(len(classes.of))
 
-    def count(n: np.ndarray, seqs: list[np.ndarray]) -> None:
-        _, cur, back, goal, _ = windows([of[s] for s in seqs], int(of[END]))
-        real = goal.ravel() >= 0
-        goal = goal.ravel()[real]
-        np.add.at(n, cur.ravel()[real] * CLASSES + goal, 1)
-        np.add.at(n, back.ravel()[real] * CLASSES + goal + cells, 1)
+    def count(n: np.ndarray, part: pa.RecordBatch) -> None:
+        ids, offsets = _joined(part.column("ids"), kind)
+        blocks, place = blocked(classes.of[ids], offsets, classes.end)
+        cur, back, goal = (x.ravel()[place].astype(np.int64) for x in (blocks.cur, blocks.back, blocks.targets))
+        for first, at in ((cur, 0), (back, cells)):
+            found, times = np.unique(first * CLASSES + goal, return_counts=True)
+            n[found + at] += times
 
     n = _counted(training, 2 * cells, count)
     return n[:cells], n[cells:]
 
 
-def drawn(training: DataFrame, share: int, rounds: int, turn: int) -> DataFrame:
-    """Training rows of a round, by row id: copies of a text are drawn one by one."""
-    return training if share * rounds == 1 else training.where(F.pmod(F.xxhash64(F.lit(23), "row"), F.lit(share * rounds)) == turn)
+def learn_weights(training: DataFrame, classes: Classes, tables: Tables, tokens: int, shard_tokens: int = 4_000_000, rounds: int = 2) -> dict[str, np.ndarray]:
+    """Weights after all rounds; ``tokens`` is the number of training ids."""
+    weights, kind = start_weights(), id_type(len(classes.of))
+    shards = max(1, math.ceil(tokens / rounds / shard_tokens))
+    for turn in range(rounds):
+        mine = training.where(F.pmod("order", F.lit(rounds)) == turn).select(F.pmod(F.floor(F.col("order") / rounds), F.lit(shards)).cast("int").alias("shard"), "order", "doc_id", "ids")
+        mine = mine.repartition(shards, "shard").sortWithinPartitions("shard", "order", "doc_id", "ids").select("shard", "ids")
 
+        def run(batches: Iterator[pa.RecordBatch], weights: dict = weights, turn: int = turn) -> Iterator[pa.RecordBatch]:
+            trainer, shard = None, None
+            n, total = 0, 0.0
 
-def learn_weights(training: DataFrame, classes: Classes, tables: Tables, share: int = 1, rounds: int = 1) -> dict[str, np.ndarray]:
-    """Local Adam in every partition on its documents, averaged by round."""
-    weights = start_weights()
-    for turn in range(rounds):
-        flat, mine = pack_weights(weights), drawn(training, share, rounds, turn).select("ids")
+            def closed() -> None:
+                nonlocal n, total
+                trainer.feed(blocked(np.empty(0, np.int64), np.zeros(1, np.int64), 0)[0], last=True)
+                n, total = n + trainer.seen, total + trainer.flat.astype(np.float64) * trainer.seen
 
-        def run(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat, turn: int = turn) -> Iterator[pa.RecordBatch]:
-            w, seen = unpack_weights(flat), 0
             for batch in batches:
-                for seqs in _ids(batch):
-                    seqs = [classes.of[s] for s in seqs]
-                    w = train(w, tables, windows(seqs, int(classes.of[END])), seed=turn)
-                    seen += sum(map(len, seqs))
-            if seen:
-                yield pa.RecordBatch.from_pydict({"n": [seen], "w": [(pack_weights(w).astype(np.float64) * seen).tobytes()]})
-
-        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                of_row = batch.column("shard").to_numpy()
+                edges = np.r_[0, np.flatnonzero(np.diff(of_row)) + 1, len(of_row)] if len(of_row) else []
+                for a, b in zip(edges, edges[1:]):
+                    if of_row[a] != shard:
+                        if trainer is not None:
+                            closed()
+                        trainer, shard = Trainer(weights, tables, least=32 if turn == 0 else 128), of_row[a]
+                    for part in pieces(batch.slice(a, b - a), "ids", size=500_000):
+                        ids, offsets = _joined(part.column("ids"), kind)
+                        trainer.feed(blocked(classes.of[ids], offsets, classes.end)[0])
+            if trainer is not None:
+                closed()
+            if n:
+                yield pa.RecordBatch.from_pydict({"n": [n], "w": [total.tobytes()]})
+
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, w = 0, 0.0
             for batch in batches:
                 for r in batch.to_pylist():
@@ -448,13 +577,13 @@ def learn_weights(training: DataFrame, classes: Classes, tables: Tables, share:
             if n:
                 yield pa.RecordBatch.from_pydict({"n": [n], "w": [w.tobytes()]})
 
-        parts = mine.mapInArrow(run, "n long, w binary").repartition(8).mapInArrow(total, "n long, w binary").collect()  # 8 rows at most
+        parts = mine.mapInArrow(run, "n long, w binary").repartition(8).mapInArrow(summed, "n long, w binary").collect()  # 8 rows at most
         if parts:
             weights = unpack_weights(sum(np.frombuffer(r["w"]) for r in parts) / sum(r["n"] for r in parts))
     return weights
 
 
-def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = 65_536, share: int = 1, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = 65_536, known_part: float = 0.4, shard_tokens: int = 4_000_000, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document."""
     spark = docs.sparkSession
     rows_of = _rows(docs, id_col, text_col)
@@ -463,21 +592,23 @@ def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int
     documents = of_kind[2]["n"] if 2 in of_kind else 0
     n_words, distinct = (of_kind[0]["n"], of_kind[0]["distinct"]) if 0 in of_kind else (0, 0)
     tokens, types = n_words + documents, distinct + (documents > 0)
-    known = {r["key"]: r["n"] for r in counts.where("kind = 0").orderBy(F.desc("n"), "key").limit(frequent).select("key", "n").collect()}  # ``frequent`` rows
-    rows = encoded(rows_of, known, documents, vocabulary)
+    known = counts.where("kind = 0").orderBy(F.desc("n"), "key").limit(frequent).select("key", "n").toArrow()  # ``frequent`` rows
+    rows = encoded(rows_of, known, documents, tokens, vocabulary)
     training = rows.where("not held_out")
-    classes = Classes(id_counts(training), word_starts(vocabulary))
+    of_id = id_counts(training, id_count(vocabulary))
+    classes = Classes(of_id, word_starts(vocabulary))
     tables = Tables(*pair_counts(training, classes))
-    model = spark.sparkContext.broadcast(Model(classes, learn_weights(training, classes, tables, share, rounds), tables))
+    model = spark.sparkContext.broadcast(Model(classes, learn_weights(training, classes, tables, int(of_id.sum()), shard_tokens, rounds), tables))
+    kind = id_type(len(of_id))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            for seqs in _ids(batch):
-                yield pa.RecordBatch.from_pydict({"row": batch.column("row").slice(at, len(seqs)), "score": pa.array(model.value.score(seqs), pa.float64())})
-                at += len(seqs)
+            for part in pieces(batch, "ids", size=1_000_000):
+                sizes, word_offsets = _joined(part.column("sizes"), np.int32)
+                scores = model.value.score(*_joined(part.column("ids"), kind), sizes, word_offsets, _joined(part.column("known"), np.float32)[0], known_part)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(scores)], ["row", "score"])
 
-    scores = rows.select("row", "ids").mapInArrow(run, "row long, score double")
+    scores = rows.select("row", "ids", "sizes", "known").mapInArrow(run, "row long, score double")
     per_word = counts.where("kind = 0").select("key", F.col("n").alias("c"))
     found = rows.select("row", F.explode("rare").alias("key")).join(per_word, "key")
     rest = found.groupBy("row").agg(F.count(F.lit(1)).alias("n_rest"), F.sum(F.log10(F.col("c") + 1)).alias("log_rest"))

@@ -36,14 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import col, ship, stage, table
+from .common import col, fresh, ship, stage, table
 from .components import components
-from .tokens import slices
+from .textual import ascii_words, pieces
 
 BANDS, ROWS = 24, 4
-MEMO = 400_000
 BLOCK, CENTRES = 2048, 256
-_words: dict[bytes, int] = {}
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=np.uint64)
 
 
@@ -56,25 +54,26 @@ def _final(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    memo = _words
-    new = set(words).difference(memo)
-    if new:
-        if len(memo) > MEMO:
-            memo.clear()
-            new = set(words)
-        memo.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-    h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(h) - size + 1)
-    width = min(size, len(h))
-    out = np.full(n, np.uint64(width))
-    for k in range(width):
-        out = _final(out * _MIX[k % 7] + h[k : k + n])
-    return np.unique(out)
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its word shingles."""
+    parts = ascii_words(texts)
+    names = parts.distinct.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))[parts.codes]
+    n = np.diff(parts.offsets)
+    width = np.minimum(n, size)
+    count = np.where(n > 0, np.maximum(1, n - size + 1), 0)
+    ends = np.cumsum(count)
+    at = np.arange(int(count.sum())) + np.repeat(parts.offsets[:-1] - (ends - count), count)
+    short = bool((width < size).any())
+    wide = np.repeat(width, count) if short else None
+    out = np.repeat(width, count).astype(np.uint64)
+    for k in range(size if len(out) else 0):
+        if short:
+            real = wide > k
+            out[real] = _final(out[real] * _MIX[k % 7] + h[at[real] + k])
+        else:
+            out = _final(out * _MIX[k % 7] + h[at + k])
+    return [np.unique(out[x:y]) for x, y in zip(ends - count, ends)]
 
 
 def hash_family(n: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -99,11 +98,11 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = hash_family(BANDS * ROWS)
         for batch in batches:
-            for rows in slices(batch):
-                sets = [shingle_set(r["text"], size) for r in rows]
+            for part in pieces(batch):
+                sets = shingle_sets(part.column("text"), size)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()),
+                        "doc_id": part.column("doc_id"),
                         "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                         "cls": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         "sig": pa.array([minima(s, a, b).tobytes() for s in sets], pa.binary()),
@@ -120,8 +119,8 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch):
-                yield pa.RecordBatch.from_pydict({"rep": pa.array([r["doc_id"] for r in rows], pa.int64()), "set": pa.array([shingle_set(r["text"], size).tobytes() for r in rows], pa.binary())})
+            for part in pieces(batch):
+                yield pa.RecordBatch.from_pydict({"rep": part.column("doc_id"), "set": pa.array([s.tobytes() for s in shingle_sets(part.column("text"), size)], pa.binary())})
 
     return docs.mapInArrow(run, "rep long, set binary")
 
@@ -276,8 +275,9 @@ def near_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, i
 
 def drop_near_copies(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group stays, with all its columns."""
-    kept = near_groups(docs, size, num, den, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, col(docs, id_col).eqNullSafe(F.col("__kept_id")), "left_semi")
+    (own,) = fresh(docs, "kept_id")
+    kept = near_groups(docs, size, num, den, id_col, text_col).where("kept").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(kept, col(docs, id_col).cast("long").eqNullSafe(F.col(own)), "left_semi")
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ class Parts(NamedTuple):
         return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text", rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str | int = "text", rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
     """A batch in slices of at most ``rows`` rows and about ``size`` bytes of text; a longer
     text is a slice of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

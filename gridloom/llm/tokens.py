@@ -110,8 +110,8 @@ class Encoder:
         self.used += len(ids)
         self.place.update(zip(part, range(n, n + len(part))))
 
-    def parts(self, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one behind the other, and the offsets of the texts."""
+    def located(self, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of every part begin in ``ids``, and how many they are."""
         found = parts.distinct.to_numpy(zero_copy_only=False).tolist()
         at = list(map(self.place.get, found))
         if None in at:
@@ -128,7 +128,12 @@ class Encoder:
         at = np.array(at, np.int64)
         self.seen[at] += 1
         at = at[parts.codes]
-        ids, ends = gathered(self.ids, self.starts[at], self.lengths[at])
+        return self.starts[at], self.lengths[at]
+
+    def parts(self, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one behind the other, and the offsets of the texts."""
+        starts, lengths = self.located(parts)
+        ids, ends = gathered(self.ids, starts, lengths)
         return ids, np.r_[0, ends][parts.offsets]
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:

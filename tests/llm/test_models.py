@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridloom.llm import lm, toxicity
@@ -53,15 +54,41 @@ def test_toxicity_edge_cases(spark, docs, none, corpus):
     assert toxicity.drop_toxic(none, labels).count() == 0
 
 
+def test_toxicity_learns_from_positive_labels_alone(spark):
+    docs, labels, bad = planted()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    only = spark.createDataFrame([(i, y) for i, y in labels if y], "doc_id long, toxic int")
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(d, toxicity.learned(d, only)).collect()}
+    held = [i for i, _ in docs if zlib.crc32(str(i).encode()) % 4 == 2]
+    found = {i for i in held if scores[i] >= 0.3}
+    assert len(found & bad) >= 0.9 * len(bad & set(held)) and len(found - bad) <= 0.03 * len(held)
+
+
+def test_least_ratio_is_near_the_prior():
+    rng = np.random.default_rng(1)
+    fp, fu = rng.normal(4, 1, 500), np.r_[rng.normal(4, 1, 100), rng.normal(0, 1, 1900)]
+    assert 0.03 < toxicity.least_ratio(fp, fu) < 0.08
+
+
+def test_scores_against_plain_python():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abc.é-") for _ in range(rng.randint(1, 8))) for _ in range(60)]
+    texts = ["  ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(50)] + ["", None, "... -"]
+    every = sorted({g for w in words for g in toxicity.grams(w.strip(toxicity.PUNCTUATION)) if w.strip(toxicity.PUNCTUATION)})
+    weights = {g: rng.uniform(-1, 1) for g in rng.sample(every, 40)}
+    want = [sum(weights.get(g, 0) for w in {x.strip(toxicity.PUNCTUATION) for x in (t or "").lower().split()} - {""} for g in toxicity.grams(w)) - 0.5 for t in texts]
+    assert np.allclose(toxicity.Scorer(weights, -0.5)(pa.array(texts)), want, atol=1e-8)
+
+
 def test_risk_does_not_go_negative():
     rng = np.random.default_rng(0)
     xp, xu = rng.normal(1, 1, (40, 5)), np.r_[rng.normal(1, 1, (20, 5)), rng.normal(-1, 1, (180, 5))]
-    w, b = toxicity.fit_nnpu(xp, xu, 0.1)
+    w, b = toxicity.fit_nnpu(toxicity.Sparse.of(xp), toxicity.Sparse.of(xu), 0.1)
     assert ((xp @ w + b) > 0).mean() > 0.8 and ((xu[20:] @ w + b) > 0).mean() < 0.1
 
 
 def test_base_scores_and_counts(docs, corpus, none):
-    got = lm.score_documents(docs, frequent=20, share=1, rounds=1).collect()
+    got = lm.score_documents(docs, frequent=20).collect()
     ho = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
     bags = [(i, [*(t or "").encode().lower().split(), "end"]) for i, t, _ in corpus]
     counts = Counter(w for i, b in bags if not ho(i) for w in b)
@@ -79,38 +106,98 @@ def small_model(seed=0):
     return {k: x + 0.1 * rng.standard_normal(x.shape).astype(np.float32) for k, x in w.items()}, lm.Tables(last, before)
 
 
+def blocks_of(*seqs, end=5):
+    offsets = np.r_[0, np.cumsum([len(s) for s in seqs])]
+    return lm.blocked(np.concatenate(seqs), offsets, end)
+
+
+def led(blocks):
+    """With a context-only block in front."""
+    return lm.Blocks(*(np.concatenate((x[:1], x)) for x in blocks))
+
+
 def test_class_probabilities_sum_to_one_and_scores_are_causal():
     w, t = small_model()
     net = lm.Network(w, t)
     rng = np.random.default_rng(1)
     s = rng.integers(0, lm.CLASSES, 50)
-    blocks = lm.windows([s], 5)
-    f = net.forward(*blocks)
+    blocks, place = blocks_of(s)
+    f = net.forward(led(blocks))
     assert np.allclose(lm._softmax(f["lg"]).sum(1), 1, atol=1e-5) and np.allclose(lm._softmax(f["lm"]).sum(1), 1, atol=1e-5)
-    one = net.log_probs(*blocks).ravel()[:50]
+    one = net.log_probs(blocks)[0].ravel()[place]
     s2 = s.copy()
     s2[40:] = rng.integers(0, lm.CLASSES, 10)
-    two = net.log_probs(*lm.windows([s2], 5)).ravel()[:50]
-    assert np.allclose(one[:40], two[:40], atol=1e-5)
-    three = net.log_probs(*lm.windows([rng.integers(0, lm.CLASSES, 33), s], 5)).ravel()[48 : 48 + 50]
-    assert np.allclose(one, three, atol=1e-5)  # texts do not see each other
+    blocks, place = blocks_of(s2)
+    assert np.allclose(one[:40], net.log_probs(blocks)[0].ravel()[place][:40], atol=1e-5)
+    blocks, place = blocks_of(rng.integers(0, lm.CLASSES, 33), s, rng.integers(0, lm.CLASSES, 3000))
+    assert np.allclose(one, net.log_probs(blocks)[0].ravel()[place][33:83], atol=1e-5)  # texts do not see each other
+
+
+def test_log_probs_against_a_loop():
+    """Every id by plain loops over its window."""
+    w, t = small_model()
+    net, rng = lm.Network(w, t), np.random.default_rng(7)
+    s, end = rng.integers(0, lm.CLASSES, 40), 9
+    blocks, place = blocks_of(s, end=end)
+    got, begins = (x.ravel()[place] for x in net.log_probs(blocks, 5))
+    inputs = [end, *s[:-1].tolist()]
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    for i, goal in enumerate(s.tolist()):
+        seen = range(max(0, i // lm.BLOCK - 1) * lm.BLOCK, i + 1)
+        q = w["emb"][inputs[i]] @ w["wq"] / math.sqrt(lm.WIDTH)
+        a = soft(np.array([q @ (w["emb"][inputs[j]] @ w["wk"]) + w["far"][(i - j) % (2 * lm.BLOCK)] for j in seen]))
+        h = w["emb"][inputs[i]] + sum(x * (w["emb"][inputs[j]] @ w["wv"]) for x, j in zip(a, seen))
+        h = h + np.maximum(h @ w["w1"] + w["b1"], 0) @ w["w2"]
+        last, before = inputs[i], inputs[i - 1] if i else end
+        group = soft(h @ w["group"] + w["scale"][0] * t.group1[last] + w["scale"][1] * t.group2[before])
+        k = goal // lm.GROUPS
+        member = soft(h @ w["member"][k] + w["scale"][2] * t.member1[last * lm.GROUPS + k] + w["scale"][3] * t.member2[before * lm.GROUPS + k])
+        assert math.isclose(got[i], math.log(group[k]) + math.log(member[goal % lm.GROUPS]), abs_tol=1e-4)
+        assert math.isclose(begins[i], math.log(group[:5].sum()), abs_tol=1e-4)
+
+
+def test_class_shares_sum_to_one_and_groups_are_pure():
+    rng = np.random.default_rng(0)
+    for starts in (np.arange(3001) % 2, np.ones(3001, np.int64), (rng.random(3001) < 0.3).astype(np.int64)):
+        c = lm.Classes(rng.poisson(3, 3001), starts)
+        used = np.unique(c.of)
+        assert np.allclose(np.bincount(c.of, np.exp(c.share), lm.CLASSES)[used], 1) and c.of.max() < lm.CLASSES
+        assert np.array_equal(starts == 1, c.of // lm.GROUPS < c.start_groups)
 
 
-def test_class_shares_sum_to_one():
-    c = lm.Classes(np.random.default_rng(0).poisson(3, lm.IDS), np.arange(lm.IDS) % 2)
-    assert np.allclose(np.bincount(c.of, np.exp(c.share), lm.CLASSES), 1)
+def test_word_scores_are_those_of_the_ids():
+    """Without the share of known words the words' scores add up to those of the ids."""
+    w, t = small_model()
+    rng = np.random.default_rng(3)
+    c = lm.Classes(rng.poisson(3, 3001), np.arange(3001) % 2)
+    c_end = 3000
+    model = lm.Model(c, w, t)
+    ids, sizes = [], []
+    for _ in range(30):
+        k = int(rng.integers(1, 4))
+        ids += [2 * int(rng.integers(0, 1500)) + 1, *(2 * rng.integers(0, 1500, k - 1)).tolist()]
+        sizes.append(k)
+    ids, sizes = np.array([*ids, c_end]), np.array([*sizes, 1])
+    args = (ids, np.array([0, len(ids)]), sizes, np.array([0, len(sizes)]))
+    blocks, place = blocks_of(c.of[ids], end=c.end)
+    lp, begins = (x.ravel()[place] for x in model.network.log_probs(blocks, c.start_groups))
+    want = (lp + c.share[ids]).sum() - begins[0]
+    known = np.full(len(sizes), 0.01, np.float32)
+    assert math.isclose(model.score(*args, known)[0], want / math.log(10), rel_tol=1e-6)
+    mixed = np.log(0.6 * np.exp(model.words(*args)) + 0.4 * 0.01).sum()
+    assert math.isclose(model.score(*args, known, 0.4)[0], mixed / math.log(10), rel_tol=1e-6)
 
 
 def test_gradient_against_differences():
     w, t = small_model()
     w = {k: x.astype(np.float64) for k, x in w.items()}
     rng = np.random.default_rng(2)
-    blocks = lm.windows([rng.integers(0, lm.CLASSES, 37), rng.integers(0, lm.CLASSES, 5)], 3)
-    g = lm.Network(w, t).gradient(*blocks)
+    blocks = blocks_of(rng.integers(0, lm.CLASSES, 37), rng.integers(0, lm.CLASSES, 5), end=3)[0]
+    g = lm.Network(w, t).gradient(led(blocks))
 
     def loss():
-        lp = lm.Network(w, t).log_probs(*blocks)
-        return -lp.sum() / (blocks[3] >= 0).sum()
+        lp = lm.Network(w, t).log_probs(blocks)[0]
+        return -lp.sum() / (blocks.targets >= 0).sum()
 
     for name in lm.SHAPES:
         flat, grad = w[name].reshape(-1), np.asarray(g[name]).reshape(-1)
@@ -124,13 +211,21 @@ def test_gradient_against_differences():
         assert abs((up - down) / (2 * step) - grad[at]) < 0.02 * abs(grad[at]) + 1e-5, name
 
 
-def test_training_lowers_the_loss():
+def test_training_lowers_the_loss_and_takes_every_block_once():
     w, t = small_model()
     rng = np.random.default_rng(4)
-    seqs = [np.tile(rng.integers(0, 50, 6), 20) for _ in range(30)]
-    blocks = lm.windows(seqs, 3)
-    before = lm.Network(w, t).log_probs(*blocks).sum()
-    assert lm.Network(lm.train(w, t, blocks, batch=16), t).log_probs(*blocks).sum() > before
+    blocks = blocks_of(*[np.tile(rng.integers(0, 50, 6), 20) for _ in range(300)], end=3)[0]
+    before = lm.Network(w, t).log_probs(blocks)[0].sum()
+    done = []
+    for cuts in ([len(blocks.cur)], [7, 100, 500, 1800, len(blocks.cur)]):
+        trainer, at = lm.Trainer(w, t), 0
+        for to in cuts:
+            trainer.feed(blocks.part(at, to), last=to == len(blocks.cur))
+            at = to
+        assert trainer.seen == 300 * 120
+        done.append(trainer.flat)
+    assert np.allclose(*done, atol=1e-6)  # however the blocks come
+    assert lm.Network(lm.unpack_weights(done[0]), t).log_probs(blocks)[0].sum() > before
 
 
 def test_held_out_hash_agrees_with_columns(spark):
@@ -138,20 +233,21 @@ def test_held_out_hash_agrees_with_columns(spark):
     assert all(r["h"] == lm.held_out(r["id"]) for r in df.collect())
 
 
-def test_weights_learn_from_every_training_row(spark):
+def test_weights_learn_from_every_training_row_however_they_lie(spark):
     rng = np.random.default_rng(5)
-    seqs = [rng.integers(0, 400, 40).astype(np.uint16) for _ in range(20)] + [np.arange(40, dtype=np.uint16)] * 10
-    rows = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(seqs)], "row long, ids binary").coalesce(1)
-    c = lm.Classes(rng.poisson(3, lm.IDS), np.arange(lm.IDS) % 2)
+    seqs = [rng.integers(0, 400, 40).astype(np.uint16) for _ in range(40)] + [np.arange(40, dtype=np.uint16)] * 10
+    rows = spark.createDataFrame([(i, int(rng.integers(-(2**60), 2**60)), bytearray(s.tobytes())) for i, s in enumerate(seqs)], "doc_id long, order long, ids binary")
+    c = lm.Classes(rng.poisson(3, 3001), np.arange(3001) % 2)
     t = small_model()[1]
-    want = lm.train(lm.start_weights(), t, lm.windows([c.of[s] for s in seqs], int(c.of[lm.END])), seed=0)
-    got = lm.learn_weights(rows, c, t)
-    assert all(np.allclose(got[k], want[k], atol=1e-5) for k in lm.SHAPES)
-    turns = [{r["row"] for r in lm.drawn(rows, 1, 3, turn).collect()} for turn in range(3)]
-    assert sorted(x for turn in turns for x in turn) == list(range(30)) and all(turn & set(range(20, 30)) for turn in turns)
-
-
-def test_scores_use_every_training_row_unless_told_otherwise(docs):
-    key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["score"])
-    got, want = (sorted(map(key, df.collect())) for df in (lm.score_documents(docs), lm.score_documents(docs, share=1, rounds=1)))
-    assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want])
+    got = [lm.learn_weights(x, c, t, 2000, shard_tokens=500) for x in (rows.coalesce(1), rows.repartition(7))]
+    assert all(np.allclose(got[0][k], got[1][k], atol=1e-5) for k in lm.SHAPES)
+    start = lm.start_weights()
+    assert any(not np.allclose(got[0][k], start[k], atol=1e-3) for k in lm.SHAPES)
+
+
+def test_scores_beat_the_base_and_the_tables_alone(spark):
+    """On held-out rows of the small corpus."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    per_word = lambda df, c: df.where("held_out").agg(F.sum(c) / F.sum("n_tokens")).first()[0]
+    got = lm.score_documents(docs).cache()
+    assert per_word(got, "score") > per_word(got, "base_score")
