@@ -28,13 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, local mode) is a local folder set.
+    Only where the session names none and runs on one machine (tests, local mode) is a local
+    folder set; on a cluster the setting is required.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         set_by_context = spark.sparkContext._jsc.sc().getCheckpointDir()
         if set_by_context.isDefined():
             found = set_by_context.get()
+        elif not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         else:
             found = "file://" + tempfile.mkdtemp(prefix="gridloom-")
             spark.sparkContext.setCheckpointDir(found)
@@ -134,6 +137,19 @@ def small_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     return rows.join(salted, [*keys, "__salt"], how).drop("__salt")
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, how: str = "inner", heavy: int = 4096) -> DataFrame:
+    """Join rows with what is known of their group, however large a group is.
+
+    ``groups`` has one row per ``key`` with the number of its rows in ``size``; ``total`` is
+    the number of all rows.  Groups of at least ``total / heavy`` rows, of which there are
+    ``heavy`` at most, are broadcast, so their rows stay where they are; all others meet by
+    key.  Both tables are read twice and should be staged.
+    """
+    large = F.broadcast(groups.where(F.col(size) * heavy >= total))
+    rest = rows.join(F.broadcast(large.select(key)), key, "left_anti").join(groups.where(F.col(size) * heavy < total), key, how)
+    return rows.join(large, key).unionByName(rest)
+
+
 def ranked(df: DataFrame, strata: list[str], key: str, order: list[str], cells: int, name: str = "rank") -> DataFrame:
     """Number the rows of every stratum from 0 in the order of a hash ``key``, in two levels.
 

@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import store
-from .common import col, drop_path, scratch_path, ship, stage, table
+from .common import col, drop_path, join_groups, scratch_path, ship, stage, table
 
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 URN = "urn:gridloom:page:"
+MOST_HEADER = 1 << 20
 
 
 def member(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool, level: int = 6) -> bytes:
@@ -67,6 +68,8 @@ class _Record:
             self.pending += data
             end = self.pending.find(b"\r\n\r\n")
             if end < 0:
+                if len(self.pending) > MOST_HEADER:
+                    raise ValueError("a record's header does not end")
                 return
             lines = self.pending[:end].decode().split("\r\n")
             if not lines[0].startswith("WARC/1."):
@@ -80,12 +83,16 @@ class _Record:
             self.block.update(mine)
             self._payload(mine)
         self.tail += rest
+        if len(self.tail) > 4:
+            raise ValueError("a record's length does not match its frame")
 
     def _payload(self, data: bytes) -> None:
         if not self.in_payload:
             self.pending += data
             end = self.pending.find(b"\r\n\r\n")
             if end < 0:
+                if len(self.pending) > MOST_HEADER:
+                    raise ValueError("a response's header does not end")
                 return
             data, self.pending, self.in_payload = self.pending[end + 4 :], b"", True
         self.payload.update(data)
@@ -140,8 +147,8 @@ def plan_records(pages: DataFrame, min_bytes: int = 100, id_col: str = "page_id"
     payload = F.coalesce(col(pages, payload_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(col(pages, id_col).cast("long").alias("page_id"), col(pages, url_col).cast("string").alias("url"), payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     keys = stage(rows.select("page_id", "digest", F.octet_length("payload").alias("n")), "warc-keys").where(F.col("n") >= min_bytes)
-    first = keys.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    again = keys.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "refers_to").distinct()
+    first = stage(keys.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("copies")).where("copies > 1"), "warc-groups")
+    again = join_groups(keys, first, "digest", "copies", keys.count()).where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "refers_to").distinct()
     joined = rows.join(again, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("digest") == F.col("again_digest")), "left")
     return joined.select("page_id", "url", "payload", "digest", "refers_to", F.col("again_digest").isNotNull().alias("revisit"))
 
@@ -192,12 +199,23 @@ def read_archives(manifest: DataFrame, keep_payload: bool = False) -> DataFrame:
     return manifest.repartition(files).mapInArrow(read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary").select(*names)
 
 
+def _verified(records: DataFrame) -> DataFrame:
+    """The records; raises where a revisit's digest or length is not that of the response it
+    names (or that is missing)."""
+    there = records.where("record_type = 'response'").groupBy(F.col("page_id").alias("named"), F.col("payload_digest").alias("named_digest"), F.col("payload_bytes").alias("named_bytes")).agg(F.lit(True).alias("there"))
+    revisits = records.where("record_type = 'revisit'").groupBy("refers_to", "payload_digest", "payload_bytes").agg(F.count(F.lit(1)).alias("n"))
+    lost = revisits.join(there, F.col("refers_to").eqNullSafe(F.col("named")) & (F.col("payload_digest") == F.col("named_digest")) & (F.col("payload_bytes") == F.col("named_bytes")), "left_anti")
+    if not lost.isEmpty():
+        raise ValueError("a revisit does not agree with the response that it names")
+    return records
+
+
 def round_trip(pages: DataFrame, min_bytes: int = 100, keep_payload: bool = False, **columns: str) -> DataFrame:
     folder = scratch_path(pages.sparkSession, "warc")
     manifest = write_archives(plan_records(pages, min_bytes, **columns), folder)
     out = stage(read_archives(manifest, keep_payload), "warc-records")
     drop_path(pages.sparkSession, folder)
-    return out
+    return _verified(out)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

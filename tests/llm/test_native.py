@@ -118,3 +118,24 @@ def test_no_document_left_out_brings_a_source_nearer(spark, docs):
     for df in (docs, long_ones):
         for miss, left in misses(mixing.plan(df).collect()).values():
             assert miss <= 1e-6 or all(abs(miss - size) >= miss - 1e-6 for size in left)
+
+
+def test_merge_is_sorted_and_hands_over_runs(docs):
+    """Every round exchanges by lane and run only, and aggregates sorted input."""
+    base = exact_dedup.stage(exact_dedup.digests(docs), "test-digests")
+    plan = exact_dedup.winners(base, "min", fan_in=2)._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.split("Initial Plan")[-1].split("\n")]
+    exchanges = [x for x in lines if "Exchange" in x]
+    assert len(exchanges) >= 3 and all("hashpartitioning(lane" in x and "digest" not in x.split("hashpartitioning")[1].split("]")[0] for x in exchanges)
+    assert not [x for x in lines if "HashAggregate" in x]
+    assert len([x for x in lines if "Sort [lane" in x]) == len(exchanges) and [x for x in lines if "SortAggregate" in x]
+
+
+def test_copies_that_fill_the_table(spark):
+    rows = [(i, "same") for i in range(3000)] + [(i, f"t{i % 700}") for i in range(3000, 6000)]
+    got = exact_dedup.dedup_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t].append(i)
+    text = dict(rows)
+    assert len(got) == len(rows) and all((r["keep_id"], r["group_size"], r["kept"]) == (min(g := groups[text[r["doc_id"]]]), len(g), r["doc_id"] == min(g)) for r in got)
