@@ -9,16 +9,19 @@ DataFrame functions only.  Three steps:
    ``floor(quota/size)`` whole passes and then goes down the permutation, passing over
    documents that overrun what is left, until none fits.  One more document may overshoot
    the quota if that comes nearer to it, so no document left out would bring it nearer.
-3. Tree: every source's line of draws is cut into blocks, the number of blocks being its
-   exact quota of ``blocks``.  A node of the tree holds a set of blocks and sends a uniformly
-   random half of it left (which draws the vector of per-source counts from the multivariate
-   hypergeometric law); ``levels`` levels give ``2**levels`` shards, whose rows are then
-   shuffled by a local hash.
+3. Tree: every source's line of draws is cut into blocks of equal length.  Their numbers
+   are exact quotas of ``2**levels * blocks_per_shard`` blocks by the sources' targets: one
+   for each source, the rest by largest remainders.  A node of the tree holds a set of blocks
+   and sends a uniformly random half of it left (which draws the vector of per-source counts
+   from the multivariate hypergeometric law); ``levels`` levels give as many shards, of about
+   ``shard_words`` words each (``2**most_levels`` shards at most, so the table of blocks stays
+   bounded).  A block is a run of the source's permuted draws; the rows that a shard's blocks
+   hold are its draws, shuffled by a local hash, and what a document gives is counted there.
 
 Cumulated sizes inside a source use ``sqrt(N)`` hash cells per source, so a hot source is
 spread over tasks.  Defined cases: null source is a source (last in order), null or empty
 texts have size 0 and are never drawn, empty tables give empty tables, repeated rows are
-separate rows.
+separate rows, each drawn for itself (which of them does not matter).
 """
 
 from __future__ import annotations
@@ -46,10 +49,13 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float
     return s.select(*STRATUM, "source_size", "n_rows", "weight", F.least("ceiling", F.col("weight") * F.col("level")).alias("target"))
 
 
-def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 7919, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: id, stratum, size, source_size, target, copies, line start, key."""
+def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 7919, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """One row per document: row, id, stratum, size, source_size, target, copies, key, place of
+    its first copy on the line of draws and length of that line.  A column named by ``row_col``
+    gives each row a number of its own, else one is made."""
     text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
     base = docs.select(
+        (col(docs, row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
         col(docs, id_col).alias("id"),
         col(docs, source_col).isNull().alias("no_source"),
         F.coalesce(col(docs, source_col).cast("string"), F.lit("")).alias("source"),
@@ -66,10 +72,10 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3
     goal = stage(goal.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")), "mix-targets")
     before = W.partitionBy(*STRATUM).orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     ahead = sums.select(*STRATUM, "cell", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("words_ahead"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_ahead"))
-    inside = W.partitionBy(*STRATUM, "cell").orderBy("key", "id", "h", "size")
+    inside = W.partitionBy(*STRATUM, "cell").orderBy("key", "id", "h", "size", "row")
     line = keyed.withColumn("end", F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0))).withColumn("pos", F.row_number().over(inside))
     line = small_join(line.join(ahead, [*STRATUM, "cell"]), goal, STRATUM)
-    line = line.select("id", *STRATUM, "cell", "size", "key", "source_size", "target", "passes", "rest", (F.col("words_ahead") + F.col("end")).alias("end"), (F.col("rows_ahead") + F.col("pos")).alias("pos"))
+    line = line.select("row", "id", *STRATUM, "cell", "size", "key", "source_size", "target", "passes", "rest", (F.col("words_ahead") + F.col("end")).alias("end"), (F.col("rows_ahead") + F.col("pos")).alias("pos"))
     line = stage(line, "mix-line")
     inner = F.col("end") <= F.col("rest")
     got = line.groupBy(*STRATUM).agg(F.coalesce(F.max(F.when(inner, F.col("end"))), F.lit(0)).alias("got"))
@@ -100,7 +106,14 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3
     out = small_join(line, gaps, STRATUM)
     extra = taken | (F.col("pos") == F.col("closing"))
     copies = F.when(F.col("size") > 0, F.col("passes") + extra.cast("long")).otherwise(F.lit(0).cast("long"))
-    return out.select("id", *STRATUM, "size", "key", "source_size", "target", copies.alias("copies"), (F.col("end") - F.col("size")).alias("start"))
+    out = stage(out.select("row", "id", *STRATUM, "cell", "pos", "size", "key", "source_size", "target", copies.alias("copies")), "mix-copies")
+    # the line of draws: each document's copies one behind the other, in the order of the permutation
+    drawn = F.col("copies") * F.col("size")
+    cells_of = out.groupBy(*STRATUM, "cell").agg(F.sum(drawn).alias("words"))
+    cells_of = cells_of.select(*STRATUM, "cell", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("ahead"), F.sum("words").over(W.partitionBy(*STRATUM)).alias("line"))
+    behind = W.partitionBy(*STRATUM, "cell").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    out = out.withColumn("inside", F.coalesce(F.sum(drawn).over(behind), F.lit(0))).join(cells_of, [*STRATUM, "cell"])
+    return out.select("row", "id", *STRATUM, "size", "key", "source_size", "target", "copies", (F.col("ahead") + F.col("inside")).alias("start"), "line")
 
 
 def split_tree(blocks: DataFrame, levels: int, seed: int) -> DataFrame:
@@ -113,42 +126,47 @@ def split_tree(blocks: DataFrame, levels: int, seed: int) -> DataFrame:
     return out.select(*STRATUM, "block", F.col("node").cast("int").alias("shard"))
 
 
-def draws(planned: DataFrame, levels: int = 5, blocks_per_shard: int = 64, seed: int = 104729) -> DataFrame:
-    """One row per drawn copy, with its shard and the key that orders rows inside the shard."""
-    blocks = blocks_per_shard << levels
-    drawn = planned.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    goal = planned.groupBy(*STRATUM).agg(F.max("target").alias("target"))
-    quota = goal.select(*STRATUM, F.greatest(F.lit(1), F.rint(F.col("target") * blocks / F.greatest(F.sum("target").over(W.partitionBy()), F.lit(1.0)))).cast("long").alias("quota"))
-    quota = stage(quota, "mix-quota")
-    place = F.floor(((F.col("copy") - 1) * F.col("source_size") + F.col("start")) * F.col("quota") / F.greatest(F.col("target"), F.lit(1.0)))
-    drawn = small_join(drawn, quota, STRATUM).withColumn("block", F.least(place, F.col("quota") - 1))
-    tree = split_tree(quota.select(*STRATUM, F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1)).alias("block")), levels, seed)
-    drawn = small_join(drawn, stage(tree, "mix-tree"), [*STRATUM, "block"])
+def quotas(goal: DataFrame, blocks: int) -> DataFrame:
+    """(no_source, source, target) -> with quota: ``blocks`` in all, one for each source that
+    is drawn from at least, the rest by largest remainders (``blocks`` or more sources: one each)."""
+    every = W.partitionBy()
+    g = goal.where("target > 0").withColumn("spare", F.greatest(F.lit(0), F.lit(blocks) - F.count(F.lit(1)).over(every)))
+    g = g.withColumn("part", F.col("spare") * F.col("target") / F.sum("target").over(every)).withColumn("whole", F.floor("part"))
+    g = g.withColumn("rank", F.row_number().over(W.orderBy(F.desc(F.col("part") - F.col("whole")), *STRATUM)))
+    more = (F.col("rank") <= F.col("spare") - F.sum("whole").over(every)).cast("long")
+    return g.select(*STRATUM, "target", (1 + F.col("whole") + more).cast("long").alias("quota"))
+
+
+def draws(planned: DataFrame, shard_words: int = 16_000_000, blocks_per_shard: int = 64, most_levels: int = 12, seed: int = 104729) -> DataFrame:
+    """One row per drawn copy, with its shard and the key that orders rows inside the shard.
+    ``planned`` is read more than once and should be staged."""
+    goal = stage(planned.groupBy(*STRATUM).agg(F.max("target").alias("target"), F.max("line").alias("line")), "mix-goal")
+    words = goal.agg(F.sum("line")).first()[0] or 0
+    levels = min(most_levels, max(0, math.ceil(math.log2(max(1, words / shard_words)))))
+    quota = stage(quotas(goal.where("line > 0").select(*STRATUM, "target"), blocks_per_shard << levels), "mix-quota")
+    tree = stage(split_tree(quota.select(*STRATUM, F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1)).alias("block")), levels, seed), "mix-tree")
+    drawn = small_join(planned.where("copies > 0"), quota.drop("target"), STRATUM).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    drawn = drawn.withColumn("block", F.expr("least(quota - 1, (cast(start as decimal(25,0)) + copy * size) * quota div line)").cast("long"))
+    drawn = small_join(drawn, tree, [*STRATUM, "block"])
     return drawn.withColumn("order_key", F.xxhash64(F.lit(seed + 1), "shard", "key", "copy"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 7919, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixture itself: every drawn copy as a row with the columns of ``docs``.
 
-    Rows come grouped by shard and shuffled inside it.  Texts join their draws on the
-    identifier and a text hash, so a hot source stays spread over tasks.
+    Rows come grouped by shard and shuffled inside it.  The table is staged with a number for
+    each row, by which texts meet their draws; a hot source stays spread over tasks.
     """
-    planned = stage(plan(docs, weights, cap, seed, id_col=id_col, text_col=text_col, source_col=source_col), "mix-plan")
-    got = draws(planned)
-    rid, h, k, s, o, rep, rank = fresh(docs, "mix_id", "mix_hash", "mix_key", "mix_shard", "mix_order", "mix_rep", "mix_rank")
-    text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
-    left = docs.withColumn(k, F.xxhash64(F.lit(seed), col(docs, id_col), F.xxhash64(text)))
-    left = left.withColumn(rep, F.row_number().over(W.partitionBy(id_col, k).orderBy(F.lit(0))))
-    ranks = W.partitionBy("id", "key", "copy").orderBy("start", "block")
-    right = got.select("id", "key", "copy", F.row_number().over(ranks).alias(rank), F.col("shard").alias(s), F.col("order_key").alias(o)).select(F.col("id").alias(rid), F.col("key").alias(h), rank, s, o)
-    joined = left.join(right, col(docs, id_col).eqNullSafe(F.col(rid)) & (F.col(k) == F.col(h)) & (F.col(rep) == F.col(rank)))
+    row, again, s, o = fresh(docs, "mix_row", "mix_again", "mix_shard", "mix_order")
+    held = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
+    planned = stage(plan(held, weights, cap, seed, id_col=id_col, text_col=text_col, source_col=source_col, row_col=row), "mix-plan")
+    got = draws(planned).select(F.col("row").alias(again), F.col("shard").alias(s), F.col("order_key").alias(o))
+    joined = held.join(got, F.col(row) == F.col(again))
     return joined.sortWithinPartitions(s, o).select(*[col(docs, x) for x in docs.columns])
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = stage(plan(table(spark, sf_dir, "documents")), "mix-plan")
-    drawn = draws(planned).select("id", "key", "start", "size", "source_size", "target", F.col("size").alias("words"), "shard")
-    never = planned.where("copies = 0").select("id", "key", "start", "size", "source_size", "target", F.lit(0).cast("long").alias("words"), F.lit(None).cast("int").alias("shard"))
-    rows = drawn.unionByName(never).groupBy("id", "key", "start", "size", "source_size", "target")
-    out = rows.agg(F.sum("words").alias("taken"), F.sort_array(F.collect_list("shard")).alias("shards"))
-    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "shards")
+    leaves = draws(planned).groupBy("row").agg(F.sum("size").alias("words"), F.sort_array(F.collect_list("shard")).alias("shards"))
+    out = planned.join(leaves, "row", "left")
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("words", F.lit(0).cast("long")).alias("taken"), F.coalesce("shards", F.array().cast("array<int>")).alias("shards"))

@@ -95,6 +95,59 @@ def test_mix_rows(docs, corpus):
     assert drawn == Counter({k: v for k, v in planned.items() if v})
 
 
+def test_mixing_query_has_a_row_per_document(spark, tmp_path, corpus):
+    """Repeated, null-id and empty rows, against plain counts; each source within one document."""
+    rows = [*corpus, [50, "", "s0"], [50, "", "s0"], [50, "", "s0"], [None, "", "s0"], [None, "", "s0"], [None, "two words", None], [None, "two words", None]]
+    df = spark.createDataFrame([(i, t, s) for i, t, s in rows], "doc_id long, text string, source string")
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    count = lambda t: len((t or "").encode().split())
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += count(t)
+    want = levels(sizes)
+    out = mixing.op5_mixing(spark, str(tmp_path))
+    assert out.columns[:5] == ["doc_id", "size", "source_size", "target", "taken"]
+    got = out.collect()
+    by_text = Counter((i, count(t), sizes[s]) for i, t, s in rows)
+    assert Counter((r["doc_id"], r["size"], r["source_size"]) for r in got) == by_text
+    source_of = {(i, count(t), sizes[s]): s for i, t, s in rows}
+    taken, longest = Counter(), Counter()
+    for r in got:
+        s = source_of[r["doc_id"], r["size"], r["source_size"]]
+        assert math.isclose(r["target"], want[s], rel_tol=1e-9)
+        assert r["taken"] <= 3 * r["size"] and (r["taken"] == 0 if not r["size"] else r["taken"] % r["size"] == 0)
+        assert r["taken"] == r["size"] * len(r["shards"])
+        taken[s] += r["taken"]
+        longest[s] = max(longest[s], r["size"])
+    assert all(abs(taken[s] - t) <= longest[s] for s, t in want.items())
+    key = lambda r: (str(r["doc_id"]), r["size"], r["source_size"], r["taken"])
+    assert sorted(map(key, got)) == sorted(map(key, mixing.op5_mixing(spark, str(tmp_path)).collect()))
+
+
+def test_quotas_are_exact(spark):
+    goal = spark.createDataFrame([(False, f"s{k:03d}", float(1 + k * k % 977)) for k in range(100)] + [(True, "", 1e-6), (False, "none", 0.0)], "no_source boolean, source string, target double")
+    got = mixing.quotas(goal, 500).collect()
+    total = sum(r["target"] for r in got)
+    assert len(got) == 101 and sum(r["quota"] for r in got) == 500
+    assert all(r["quota"] >= 1 and abs(r["quota"] - 1 - (500 - 101) * r["target"] / total) < 1 for r in got)
+    assert {r["quota"] for r in mixing.quotas(goal, 20).collect()} == {1}
+
+
+def test_shards_hold_the_mixture(spark):
+    """Every draw lies in one shard, and blocks of a source are spread as the law says."""
+    df = spark.createDataFrame([(i, "w " * (5 + i % 9), f"s{i % 3}") for i in range(3000)], "doc_id long, text string, source string")
+    planned = mixing.stage(mixing.plan(df), "test-plan")
+    got = mixing.draws(planned, shard_words=4000, blocks_per_shard=64).collect()
+    assert len(got) == sum(r["copies"] for r in planned.collect())
+    words, shares = Counter(), defaultdict(Counter)
+    for r in got:
+        words[r["shard"]] += r["size"]
+        shares[r["source"]][r["shard"]] += r["size"]
+    assert len(words) == 8 and max(words.values()) < 1.4 * min(words.values())
+    for s in shares.values():
+        assert len(s) == 8  # about ten blocks of the rarest source in each of them
+
+
 def test_tree_splits_blocks_evenly(spark):
     blocks = spark.createDataFrame([(False, f"s{k % 3}", k) for k in range(96)], "no_source boolean, source string, block long")
     got = mixing.split_tree(blocks, 3, 1).collect()
