@@ -5,9 +5,11 @@
    sets form a class, represented by its smallest document id.
 2. Bands of the signature put classes into buckets.  A bucket never emits its pairs.  First
    each member is compared with the bucket's least id.  What is still split into several
-   components then meets a bounded number of centres at a time (members of the smallest
-   components first), streamed past them in blocks of at most ``BLOCK`` members; centres
-   leave the bucket, and it is settled as soon as what is left belongs to one component.  A
+   components then meets centres (members of the smallest components first), streamed past
+   ``CENTRES`` of them at a time in blocks of about ``BLOCK`` members, so a task's memory is
+   bounded.  Centres leave the bucket, and each round takes twice as many, so a bucket of
+   ``m`` members takes ``log2(m / CENTRES)`` rounds at most; it is settled as soon as what is
+   left belongs to one component.  A
    pair is thus skipped only when a chain of links joins it already, so the components are
    those of all links among the buckets' pairs.  A pair that shares several buckets is
    compared in the first of them.
@@ -28,6 +30,7 @@ empty tables give no rows; extra columns are ignored (``drop_near_copies`` carri
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -245,18 +248,21 @@ def near_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, i
     links = verified(pairs, sigs, sets, num, den)
     labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).df.select(F.col("u").alias("rep"), F.col("v").alias("comp"))
     rest = entries.where("rep <> lo").select("key", "band", "rep")
-    while True:
+    for turn in count():
         named = rest.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("in_comp"))
-        mixed = parts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("in_comp").alias("members")).where("lo < hi").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        mixed = parts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("in_comp").alias("members")).where("lo < hi").select("key", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
         open_ = stage(named.join(mixed, "key").join(parts, ["key", "comp"]), "open-buckets")
         if open_.limit(1).count() == 0:
             break
         order = W.partitionBy("key").orderBy("in_comp", "comp", "rep")
-        chosen = stage(open_.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CENTRES).drop("nth"), "centres")
+        chosen = stage(open_.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CENTRES << turn), "centres")
+        chunks = F.least(F.lit(1 << turn), F.ceil(F.col("members") / CENTRES)).cast("int")
         data = _only(sigs.join(sets, "rep"), "rep", open_.select("rep"))
-        rows = open_.select("key", "band", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("kind"))
-        rows = rows.unionByName(chosen.select("key", "band", "rep", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("kind")))
+        cell = F.col("chunk") * F.col("blocks") + F.col("block")  # each chunk of centres meets each block of members
+        rows = open_.select("key", "band", "rep", "comp", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(1).alias("kind"))
+        past = chosen.select("key", "band", "rep", "comp", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.floor((F.col("nth") - 1) / CENTRES).cast("int").alias("chunk"), F.lit(0).alias("kind"))
+        rows = rows.unionByName(past).withColumn("block", cell).drop("chunk", "blocks")
         rows = rows.join(data, "rep").repartition("key", "block").sortWithinPartitions("key", "block", "kind", "rep")
         links = stage(rows.select("key", "block", "kind", "band", "rep", "comp", "n", "sig", "set").mapInArrow(_meet(num, den), "a long, b long"), "links")
         if links.limit(1).count():

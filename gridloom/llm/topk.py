@@ -11,11 +11,13 @@ after each round the k-th best score so far stops all rings whose bound lies bel
 The last round takes every ring that is left, so the result is exact.
 
 Bounds: pivots come from ``sample`` vectors (the least hashes of their ids) and serve only
-the layout; every vector is indexed.  The driver holds the pivots and one row per ring
+the layout; every vector is indexed.  Their number grows as the square root of the table's,
+up to ``sample / 16``.  The driver holds the pivots and one row per ring
 (``pivots * rings`` at most).  A ring is stored as blocks of about ``block`` vectors, so a
 vector that fills a third of the table is spread over many tasks.
 
-Defined cases: vectors that are null or hold null, NaN or infinite components, and rows
+Defined cases: scores are exact, and cut to the range of 64-bit integers where components
+are so large that they leave it (such scores tie); vectors that are null or hold null, NaN or infinite components, and rows
 without id, take no part; shorter vectors count as padded with zeros; rows that repeat an
 id are separate candidates, while a query id is asked once (with its least vector); empty
 tables give no rows; extra columns are ignored.
@@ -23,6 +25,7 @@ tables give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,14 +36,21 @@ from pyspark.sql import functions as F
 
 from .common import col, ship, stage, table
 
-ROUNDS = (2, 14, None)
+ROUNDS = (2, 14, 112, None)  # rings; the last round takes all that are left
 
 
 def integer_vectors(rows: DataFrame, is_query: Column, scale: int, id_col: str, vector_col: str) -> DataFrame:
-    """id, v, asks of the rows that take part; v: components as floor(scale * x)."""
+    """id, v, asks of the rows that take part; v: components as floor(scale * x), whole
+    numbers kept as doubles (one that leaves their range is the largest double)."""
     v = col(rows, vector_col)
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    scaled = F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    most = F.lit(float(np.finfo(np.float64).max))
+
+    def whole(x: Column) -> Column:
+        y = F.greatest(-most, F.least(most, x.cast("double") * scale))
+        return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)  # larger doubles are whole
+
+    scaled = F.transform(v, whole)
     return rows.where(col(rows, id_col).isNotNull() & v.isNotNull() & good).select(col(rows, id_col).cast("long").alias("id"), scaled.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
 
 
@@ -61,12 +71,13 @@ def fit_pivots(sample: np.ndarray, pivots: int, rings: int, seed: int = 11) -> t
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * a @ b.T
-    return np.sqrt(np.maximum(sq, 0))
+    with np.errstate(over="ignore", invalid="ignore"):
+        sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * a @ b.T
+    return np.sqrt(np.nan_to_num(np.maximum(sq, 0), nan=np.inf))
 
 
 def _matrix(vectors: list, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), dtype=np.int64)
+    out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
@@ -74,7 +85,19 @@ def _matrix(vectors: list, width: int) -> np.ndarray:
 
 def _lift(m: np.ndarray, top: float) -> np.ndarray:
     x = m.astype(np.float64)
-    return np.c_[x, np.sqrt(np.maximum(top - (x * x).sum(1), 0))]
+    return np.c_[x, np.sqrt(np.maximum(top - (x * x).sum(1), 0)) if np.isfinite(top) else np.zeros(len(x))]
+
+
+LONG = (-(1 << 63), (1 << 63) - 1)
+
+
+def _scores(q: np.ndarray, c: np.ndarray, exact: type) -> np.ndarray:
+    """Inner products of whole numbers kept as doubles: in doubles or 64-bit integers where
+    these hold every sum, else in Python's integers, cut to the 64-bit range."""
+    if exact is not object:
+        return (q.astype(exact) @ c.astype(exact).T).astype(np.int64)
+    a, b = ([[int(x) for x in row] for row in m.tolist()] for m in (q, c))
+    return np.array([[min(max(sum(x * y for x, y in zip(i, j)), LONG[0]), LONG[1]) for j in b] for i in a], np.int64).reshape(len(q), len(c))
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -84,10 +107,10 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         at = np.flatnonzero(scores >= least)
     else:
         at = np.arange(len(scores))
-    return at[np.lexsort((ids[at], -scores[at]))][:k]
+    return at[np.lexsort((ids[at], ~scores[at]))][:k]  # the complement falls as scores rise, without overflow
 
 
-def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivots: int = 32, rings: int = 8, sample: int = 4096, block: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivots: int | None = None, rings: int = 8, sample: int = 4096, block: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best candidates of every query row."""
     spark = rows.sparkSession
     ship(spark)
@@ -98,10 +121,13 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivot
     if width is None:
         return empty
     width, peak = max(width, 1), peak or 0
-    if width * peak * peak >= 1 << 62:
-        raise ValueError("components are too large for exact 64-bit scores")
-    exact = np.float64 if width * peak * peak < 1 << 52 else np.int64
-    store_as = np.int32 if peak < 1 << 31 else np.int64
+    if float(width) * peak * peak >= 2.0**62:
+        exact = object  # neither bounds nor machine numbers hold: every ring is taken, and scored in Python's integers
+    else:
+        exact = np.float64 if width * peak * peak < 1 << 52 else np.int64
+    store_as = np.int32 if peak < 1 << 31 else np.float64
+    if pivots is None:
+        pivots = min(max(32, math.isqrt(vectors.count()) // 4), sample // 16)
     some = vectors.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
     centres, edges = fit_pivots(_lift(_matrix([r["v"] for r in some], width), top), min(pivots, len(some)), rings)
 
@@ -141,6 +167,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivot
         x = q.astype(np.float64)
         d = _distances(np.c_[x, np.zeros(len(x))], centres)[:, d_pivot]
         least = np.maximum(0, np.maximum(d - d_far, d_near - d))
+        if exact is object:
+            return np.full((len(q), len(d_pivot)), np.inf)
         most = ((x * x).sum(1)[:, None] + top - least * least) / 2
         return most + 1e-6 * (1 + np.abs(top) + (x * x).sum(1)[:, None])
 
@@ -188,10 +216,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivot
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
                 ids = np.frombuffer(row["ids"], np.int64)
-                q = np.frombuffer(row["vecs"], store_as).reshape(len(ids), -1).astype(exact)
+                q = np.frombuffer(row["vecs"], store_as).reshape(len(ids), -1)
                 members = np.array([x["id"] for x in row["members"]])
-                c = np.stack([np.frombuffer(x["vec"], store_as) for x in row["members"]]).astype(exact)
-                scores = (q @ c.T).astype(np.int64)
+                c = np.stack([np.frombuffer(x["vec"], store_as) for x in row["members"]])
+                scores = _scores(q, c, exact)
                 for i, qid in enumerate(ids.tolist()):
                     other = members != qid
                     s, m = scores[i][other], members[other]

@@ -73,6 +73,19 @@ def test_components_of_a_long_path(spark):
     assert got == {k: 0 for k in range(1, n + 1)} | {101: 100}
 
 
+def test_buckets_of_many_unrelated_members(monkeypatch, spark):
+    """With few centres a round, whose number doubles."""
+    monkeypatch.setattr(minhash, "CENTRES", 4)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    test_chain_of_links_and_split_buckets(spark)
+
+
+def test_names_that_clash_are_carried(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", 5, 6), (2, "a b c d e f", 7, 8)], "doc_id int, text string, kept_id int, __kept_id long")
+    got = minhash.drop_near_copies(df)
+    assert got.columns == df.columns and [r["doc_id"] for r in got.collect()] == [1]
+
+
 def brute(rows, k):
     good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = set()
@@ -91,4 +104,13 @@ def test_top_k(spark):
     got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=5, pivots=6, rings=4, sample=200, block=32)
     assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == brute(rows, 5)
     assert topk.top_k(df.where("false"), F.lit(True)).count() == 0
+    huge = [(i, [rng.choice([1e12, -1e9, 3.5, 1e300, 7e15, 0.25]) for _ in range(3)]) for i in range(60)]
+    df2 = spark.createDataFrame(huge, "vec_id long, embedding array<double>")
+    cut = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+    v = {i: [math.floor(256 * x) for x in e] for i, e in huge}
+    want = set()
+    for q in (i for i in v if i % 5 == 0):
+        best = sorted((-cut(sum(x * y for x, y in zip(v[q], v[c]))), c) for c in v if c != q)[:5]
+        want |= {(q, r, c, -s) for r, (s, c) in enumerate(best, 1)}
+    assert {tuple(r) for r in topk.top_k(df2, F.col("vec_id") % 5 == 0, rings=3).collect()} == want
     assert topk.top_k(df.where("vec_id = 5"), F.lit(True)).count() == 0
