@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-ROWS, BYTES = 8192, 8_000_000
+ROWS, BYTES = 8192, 4_000_000
 #: every character that Python's ``\s`` matches
 SPACES = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _STEP = re.compile(r"(?<=\S)(?=[ \n])")

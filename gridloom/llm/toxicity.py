@@ -81,10 +81,8 @@ class Finder:
         if self.none or not names:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         ends = np.cumsum(np.fromiter(map(len, names), np.int64, len(names)) + 3)
-        found = list(self.automaton.iter("".join(f" {w} \n" for w in names)))
-        if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        at, which = np.array(found, np.int64).T
+        found = np.fromiter((x for pair in self.automaton.iter("".join(f" {w} \n" for w in names)) for x in pair), np.int64)
+        at, which = found[::2], found[1::2]
         both = np.unique(np.searchsorted(ends, at, "right") * self.width + which)
         return both // self.width, both % self.width
 
@@ -175,7 +173,7 @@ def _matrices(sample: DataFrame, features: list[str]) -> dict[bool, Sparse]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(features)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=2_000_000):
                 owner, word, names = distinct_words(part.column("text"))
                 of, which = finder(names)
                 first, last = np.searchsorted(of, word), np.searchsorted(of, word, "right")
@@ -260,7 +258,7 @@ def score(docs: DataFrame, model: tuple[dict[str, float], float] | None, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*model)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=2_000_000):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_shifted(scorer(part.column("text"))))], ["doc_id", "score"])
 
     return rows_of.mapInArrow(run, "doc_id long, score double")
@@ -283,7 +281,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*model)
         for batch in batches:
-            for part in pieces(batch, place):
+            for part in pieces(batch, place, size=2_000_000):
                 yield part.filter(pa.array(_shifted(scorer(part.column(place))) < threshold))
 
     place = docs.columns.index(text_col)
