@@ -12,7 +12,6 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Fixed values of the fit.
@@ -165,7 +164,7 @@ FIT_SCHEMA = "years array<int>, mean array<double>, error array<double>, n array
 def harmonic_fit(df: DataFrame, key: str, centre: float, climate: tuple[int, int], start: str = "start", stop: str = "stop", value: str = "v", error: str = "err") -> DataFrame:
     """One row per cell that can be fitted.  Cells below the minimum never reach the kernel."""
     rows = df.select(key, F.col(start).alias("s"), F.col(stop).alias("e"), F.col(value).alias("v"), F.col(error).alias("r")).where("v is not null and r is not null")
-    rows = rows.withColumn("__n", F.count(F.lit(1)).over(W.partitionBy(key))).where(F.col("__n") >= MIN_BEFORE).drop("__n")
+    rows = rows.join(rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= MIN_BEFORE).select(key), key, "left_semi")
 
     def kernel(k: tuple, g: pd.DataFrame) -> pd.DataFrame:
         got = fit_series(*(g[c].to_numpy(float) for c in "sevr"), centre, climate)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -16,13 +15,12 @@ def qualify(pixels: DataFrame, layer: str, epsg: str, target: int, box: tuple[fl
 
 
 def crop_to_valid(df: DataFrame, keys: list[str], value: str, x: str = "x", y: str = "y") -> DataFrame:
-    """Rows inside the bounding box of the non-null values of their key."""
-    w = W.partitionBy(*keys)
-    on = F.col(value).isNotNull()
-    out = df
-    for c in (x, y):
-        out = out.withColumn(f"__{c}0", F.min(F.when(on, F.col(c))).over(w)).withColumn(f"__{c}1", F.max(F.when(on, F.col(c))).over(w))
-    return out.where(F.col(x).between(F.col(f"__{x}0"), F.col(f"__{x}1")) & F.col(y).between(F.col(f"__{y}0"), F.col(f"__{y}1"))).drop(f"__{x}0", f"__{x}1", f"__{y}0", f"__{y}1")
+    """Rows inside the bounding box of the non-null values of their key: the boxes are
+    grouped and joined back, so no layer's rows are buffered."""
+    ends = [f(c).alias(f"__{c}{i}") for c in (x, y) for i, f in enumerate((F.min, F.max))]
+    boxes = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(*ends)
+    out = df.join(boxes, keys).where(F.col(x).between(F.col(f"__{x}0"), F.col(f"__{x}1")) & F.col(y).between(F.col(f"__{y}0"), F.col(f"__{y}1")))
+    return out.select(*df.columns)
 
 
 def masked(c: Column, inside: Column, fill: Column | None = None) -> Column:

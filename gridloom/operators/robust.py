@@ -20,9 +20,10 @@ SENSOR_BIN_DAYS, SENSOR_MIN, SENSOR_BINS, SENSOR_MAX_DT, SENSOR_SE = 73, 3, 3, 6
 
 
 def median_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Median and median absolute deviation per key; one exchange serves both passes."""
-    w = W.partitionBy(*keys)
-    centred = df.where(F.col(value).isNotNull()).withColumn("__med", F.median(value).over(w))
+    """Median and median absolute deviation per key: the medians are grouped (a median is
+    held as counts of distinct values, combined before the exchange) and joined back."""
+    rows = df.where(F.col(value).isNotNull())
+    centred = rows.join(rows.groupBy(*keys).agg(F.median(value).alias("__med")), keys)
     return centred.groupBy(*keys).agg(F.max("__med").alias("median"), F.median(F.abs(F.col(value) - F.col("__med"))).alias("mad"), F.count(F.lit(1)).alias("n"))
 
 
@@ -36,13 +37,16 @@ def dt_bin(dt: Column) -> Column:
 
 def flow_direction(df: DataFrame, keys: list[str], vx: str = "vx", vy: str = "vy", dt: str = "dt") -> DataFrame:
     """Per cell the median flow: medians over the smallest time cap that has enough
-    observations, else over all; ``slow`` where the speed switches the filter off."""
+    observations, else over all; ``slow`` where the speed switches the filter off.
+
+    The caps come from counts, which combine before the exchange; only rows within a cell's
+    cap go on to its medians."""
     valid = df.where(F.col(vx).isNotNull())
-    w = W.partitionBy(*keys)
+    counts = valid.groupBy(*keys).agg(*[F.count_if(F.col(dt) <= edge).alias(f"__n{edge}") for edge in EDGES[1:]])
     cap = F.lit(float("inf"))
     for edge in reversed(EDGES[1:]):
-        cap = F.when(F.count_if(F.col(dt) <= edge).over(w) >= MIN_FLOW_OBS, F.lit(float(edge))).otherwise(cap)
-    used = valid.withColumn("__cap", cap).where(F.col(dt) <= F.col("__cap"))
+        cap = F.when(F.col(f"__n{edge}") >= MIN_FLOW_OBS, F.lit(float(edge))).otherwise(cap)
+    used = valid.join(counts.select(*keys, cap.alias("__cap")), keys).where(F.col(dt) <= F.col("__cap"))
     out = used.groupBy(*keys).agg(F.max("__cap").alias("dt_cap"), F.count(F.lit(1)).alias("n_flow"), F.median(vx).alias("vx0"), F.median(vy).alias("vy0"))
     return out.withColumn("v0", F.hypot("vx0", "vy0")).withColumn("slow", F.col("v0") <= SLOW)
 
@@ -114,15 +118,16 @@ def stable_shift(df: DataFrame, threshold: Column, sx: Column, sy: Column, dt: C
 
 
 def enough(df: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Rows of cells with at least ``least`` observations."""
-    return df.withColumn("__n", F.count(F.lit(1)).over(W.partitionBy(*keys))).where(F.col("__n") >= least).drop("__n")
+    """Rows of cells with at least ``least`` observations: counted groups joined back, so no
+    cell's rows are buffered."""
+    return df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= least).select(*keys), keys, "left_semi")
 
 
 def calibrated_shift(df: DataFrame, keys: list[str], value: str, ref: str, stable: str) -> DataFrame:
     """Shift against a reference field: over the stable surface, else over the slowest
     quarter; with its spread and which surface was used (1, 2, 0: none)."""
-    w = W.partitionBy(*keys)
-    rows = df.withColumn("__q", F.percentile(F.abs(ref), F.lit(0.25)).over(w)).withColumn("__slow", F.abs(ref) <= F.col("__q")).withColumn("__d", F.col(value) - F.col(ref))
+    quarter = df.groupBy(*keys).agg(F.percentile(F.abs(ref), F.lit(0.25)).alias("__q"))
+    rows = df.join(quarter, keys).withColumn("__slow", F.abs(ref) <= F.col("__q")).withColumn("__d", F.col(value) - F.col(ref))
     on = lambda f, c: f(F.when(c, F.col("__d")))
     out = rows.groupBy(*keys).agg(
         F.count_if(F.col(stable) & F.col("__d").isNotNull()).alias("n_stable"),

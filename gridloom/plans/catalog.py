@@ -288,12 +288,16 @@ def incremental_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """INC-01, INC-02, INC-03, INC-05, LIM-02: a file stream appended to a cube in bounded
     batches; running it again adds nothing."""
     import tempfile
+    import uuid
 
     from ..streaming.incremental import update_cube
 
     # one cube and checkpoint per call: beside the cluster's checkpoints, or local in tests
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="gridloom-cube-")
-    base = f"{root.rstrip('/')}/gridloom/cube-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    root = root or "file://" + tempfile.mkdtemp(prefix="gridloom-cube-")
+    base = f"{root.rstrip('/')}/gridloom/cube-{uuid.uuid4().hex}"
     source = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(source).schema
     for _ in range(2):  # the pattern lets one file stand for a folder of files

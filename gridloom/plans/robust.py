@@ -155,10 +155,10 @@ def skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("percent", F.round("percent", 6))
 
 
-@query(f"WITH {LAYERS}, b AS (SELECT layer, min(x) FILTER (v > 1000) AS x0, max(x) FILTER (v > 1000) AS x1, min(y) FILTER (v > 1000) AS y0, max(y) FILTER (v > 1000) AS y1 FROM px GROUP BY layer) SELECT p.layer, count(*) AS n FROM px p JOIN b USING (layer) WHERE x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 GROUP BY ALL")
+@query(f"WITH {LAYERS}, b AS (SELECT layer, min(x) FILTER (w) AS x0, max(x) FILTER (w) AS x1, min(y) FILTER (w) AS y0, max(y) FILTER (w) AS y1 FROM (SELECT *, v > 905 AND x BETWEEN 8 AND 41 AND y > 4 AS w FROM px) GROUP BY layer) SELECT p.layer, count(*) AS n FROM px p JOIN b USING (layer) WHERE x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 GROUP BY ALL")
 def crop_to_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-12."""
-    p = _layers(spark, sf_dir).withColumn("w", F.when(F.col("v") > 1000, F.col("v")))
+    p = _layers(spark, sf_dir).withColumn("w", F.when((F.col("v") > 905) & F.col("x").between(8, 41) & (F.col("y") > 4), F.col("v")))
     return quality.crop_to_valid(p, ["layer"], "w").groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -135,3 +135,27 @@ def test_cells_on_an_edge_are_outside(spark):
     cells = spark.createDataFrame([(float(x), float(y)) for x in range(-1, 6) for y in range(-1, 6)], "x double, y double")
     got = {(r["x"], r["y"]) for r in cells.where(grids.in_polygon(F.col("x"), F.col("y"), ring)).collect()}
     assert got == {(1, 1), (2, 1), (3, 1), (1, 2), (1, 3)}
+
+
+def test_projections_of_known_points(spark):
+    """Central meridians, the pole and the length of the meridian arc to 45 degrees."""
+    from gridloom.functions import grids
+
+    one = spark.range(1)
+    x, y = grids.utm_forward(F.lit(3.0), F.lit(45.0), F.lit(31), F.lit(False))
+    x0, y0 = grids.utm_forward(F.lit(3.0), F.lit(0.0), F.lit(31), F.lit(False))
+    px, py = grids.polar_forward(F.lit(-45.0), F.lit(70.0), 70.0, -45.0)
+    ex, ey = grids.polar_forward(F.lit(45.0), F.lit(70.0), 70.0, -45.0)
+    got = one.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate((x, y, x0, y0, px, py, ex, ey))]).first()
+    rho = 6378137 * math.cos(math.radians(70)) / math.sqrt(1 - 0.00669437999014 * math.sin(math.radians(70)) ** 2)  # radius of the parallel of true scale
+    want = (500000, 0.9996 * 4984944.378, 500000, 0, 0, -rho, rho, 0)
+    assert all(abs(a - b) < 0.01 for a, b in zip(got, want))
+
+
+def test_small_groups_are_left_out_and_boxes_crop(spark):
+    from gridloom.operators import quality
+
+    df = spark.createDataFrame([(k, i, i % 4, float(i) if 3 <= i <= 6 else None) for k in (1, 2) for i in range(10 if k == 1 else 5)], "k int, x int, y int, v double")
+    assert {r["k"] for r in robust.enough(df, ["k"], 6).collect()} == {1}
+    got = sorted((r["k"], r["x"], r["y"]) for r in quality.crop_to_valid(df, ["k"], "v").collect())
+    assert got == [(1, 3, 3), (1, 4, 0), (1, 5, 1), (1, 6, 2), (2, 3, 3), (2, 4, 0)]
