@@ -541,7 +541,7 @@ def learn_weights(training: DataFrame, classes: Classes, tables: Tables, tokens:
     weights, kind = start_weights(), id_type(len(classes.of))
     shards = max(1, math.ceil(tokens / rounds / shard_tokens))
     for turn in range(rounds):
-        mine = training.where(F.pmod("order", F.lit(rounds)) == turn).select(F.pmod(F.floor(F.col("order") / rounds), F.lit(shards)).cast("int").alias("shard"), "order", "doc_id", "ids")
+        mine = training.where(F.pmod("order", F.lit(rounds)) == turn).select(F.pmod(F.shiftright("order", 20), F.lit(shards)).cast("int").alias("shard"), "order", "doc_id", "ids")
         mine = mine.repartition(shards, "shard").sortWithinPartitions("shard", "order", "doc_id", "ids").select("shard", "ids")
 
         def run(batches: Iterator[pa.RecordBatch], weights: dict = weights, turn: int = turn) -> Iterator[pa.RecordBatch]:

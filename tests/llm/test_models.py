@@ -240,6 +240,7 @@ def test_weights_learn_from_every_training_row_however_they_lie(spark):
     rows = spark.createDataFrame([(i, int(rng.integers(-(2**60), 2**60)), bytearray(s.tobytes())) for i, s in enumerate(seqs)], "doc_id long, order long, ids binary")
     c = lm.Classes(rng.poisson(3, 3001), np.arange(3001) % 2)
     t = small_model()[1]
+    assert rows.select(F.pmod(F.shiftright("order", 20), F.lit(4))).distinct().count() == 4  # rows are dealt to all shards
     got = [lm.learn_weights(x, c, t, 2000, shard_tokens=500) for x in (rows.coalesce(1), rows.repartition(7))]
     assert all(np.allclose(got[0][k], got[1][k], atol=1e-5) for k in lm.SHAPES)
     start = lm.start_weights()
