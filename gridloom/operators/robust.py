@@ -81,8 +81,9 @@ def dt_bin_filter(df: DataFrame, keys: list[str], group: str, value: str = "vp",
 
 
 def apply_max_dt(df: DataFrame, limits: DataFrame, keys: list[str], group: str, dt: str = "dt") -> DataFrame:
-    """Drops observations above the limit; one at the limit stays."""
-    return df.join(limits.select(*keys, group, "max_dt"), [*keys, group]).where(F.col("max_dt").isNull() | (F.col(dt) <= F.col("max_dt")))
+    """Drops observations above the limit; one at the limit stays, and so do those of cells
+    without one (slow cells skip the filter)."""
+    return df.join(limits.select(*keys, group, "max_dt"), [*keys, group], "left").where(F.col("max_dt").isNull() | (F.col(dt) <= F.col("max_dt")))
 
 
 def disagreeing_groups(df: DataFrame, keys: list[str], group: str, reference: str, day: str = "day", vx: str = "vx", vy: str = "vy", dt: str = "dt") -> DataFrame:

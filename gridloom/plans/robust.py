@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import quality, robust
+from ..operators import composite, quality, robust
 from ..sources.views import OBS, SCENES, observations, scenes
 from .registry import query
 
@@ -45,7 +45,7 @@ def dt_bin_filter_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust.dt_bin_filter(observations(spark, sf_dir).where("grp <> 'N'").withColumn("vp", F.col("speed") / 100), ["cell"], "grp")
 
 
-@query(f"WITH {OBS}, {FLOW}, {PROJ}, {FILTER} SELECT p.cell, p.grp, count(*) AS n, round(sum(vp), 4) AS total FROM proj p JOIN lim l ON p.cell = l.cell AND p.grp = l.grp WHERE max_dt IS NULL OR dt <= max_dt GROUP BY ALL")
+@query(f"WITH {OBS}, {FLOW}, {PROJ}, {FILTER} SELECT p.cell, p.grp, count(*) AS n, round(sum(vp), 4) AS total FROM proj p LEFT JOIN lim l ON p.cell = l.cell AND p.grp = l.grp WHERE max_dt IS NULL OR dt <= max_dt GROUP BY ALL")
 def dt_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-05: the filter applied."""
     p = _projected(observations(spark, sf_dir))
@@ -96,6 +96,32 @@ def sensor_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust.without_groups(b, bad, ["cell"], "grp").groupBy("cell", "grp").agg(F.count(F.lit(1)).alias("n"))
 
 
+KEPT = "bad AS (SELECT cell, grp FROM dis WHERE excluded AND cell % 2 = 0), kept AS (SELECT * FROM biased b WHERE NOT EXISTS (SELECT 1 FROM bad x WHERE x.cell = b.cell AND x.grp = b.grp))"
+
+
+@query(f"""WITH {OBS}, {SENSOR}, {KEPT}, {FLOW.replace("FROM obs", "FROM kept")}, {PROJ.replace("FROM obs o", "FROM kept o")}, {FILTER},
+f AS (SELECT p.cell, p.grp, count(*) AS n, sum(vp) AS total FROM proj p LEFT JOIN lim l ON p.cell = l.cell AND p.grp = l.grp WHERE (max_dt IS NULL OR dt <= max_dt) AND sqrt(vx * vx + vy * vy) <= 560 GROUP BY ALL),
+g AS (SELECT cell, grp, count(*) AS n_all FROM biased GROUP BY ALL)
+SELECT g.cell, g.grp, n_all, CASE WHEN bad.cell IS NULL THEN 1 ELSE 0 END AS include, max_dt, coalesce(n, 0) AS n, round(total, 4) AS total
+FROM g LEFT JOIN bad ON g.cell = bad.cell AND g.grp = bad.grp LEFT JOIN lim ON g.cell = lim.cell AND g.grp = lim.grp LEFT JOIN f ON g.cell = f.cell AND g.grp = f.grp""")
+def composite_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-03, AGG-05, AGG-15..17, FLT-06: the composite's filters in one plan, excluded groups
+    passed through."""
+    rows, groups = composite.filtered(_biased(spark, sf_dir), F.col("cell") % 2 != 0, "N", speed_limit=560.0)
+    n = rows.groupBy("cell", "grp").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("vp"), 4).alias("total"))
+    return groups.join(n, ["cell", "grp"], "left").select("cell", "grp", "n_all", "include", "max_dt", F.coalesce("n", F.lit(0)).alias("n"), "total")
+
+
+@query()
+def composite_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-17: exclusion, flow, time filter, speed limit, fits with and without the reference
+    group, magnitudes, share of outliers and limits in one plan."""
+    out = composite.composite(_biased(spark, sf_dir), F.col("cell") % 2 != 0, "N", 1995.5, (1993, 1996))
+    r = lambda name: F.round(name, 5).alias(name)
+    lists = [F.transform(k, lambda x: F.round(x, 5)).alias(k) for k in ("v", "v_error")]
+    return out.select("cell", "years", *lists, "n", *map(r, ("v0", "v0_error", "dv_dt", "amp", "amp_error", "phase")), "pairs", r("outlier_percent"), "replaced", "groups")
+
+
 @query(f"""WITH {OBS}, t AS (SELECT *, CASE sat WHEN '8.' THEN 61.6 WHEN '1A' THEN 1.1 ELSE 28.5 END AS threshold FROM obs),
 f AS (SELECT *, shift * dt / 365.25 > threshold AS big FROM t)
 SELECT grp, count(*) FILTER (NOT (big AND flag = 1)) AS kept, count(*) FILTER (big AND flag = 2) AS reversed,
