@@ -192,3 +192,27 @@ def test_copies_that_fill_the_table(spark):
         groups[t].append(i)
     text = dict(rows)
     assert len(got) == len(rows) and all((r["keep_id"], r["group_size"], r["kept"]) == (min(g := groups[text[r["doc_id"]]]), len(g), r["doc_id"] == min(g)) for r in got)
+
+
+def test_shards_against_a_plain_sort(spark, docs, corpus):
+    """Shard and slot of every row from one sort of each source and one of the whole table."""
+    shards, total = 7, len(corpus)
+    cells = math.isqrt(total)
+    facts = [(i, s, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, s in corpus]
+    keyed = spark.createDataFrame(facts, "id long, source string, size long, crc long").selectExpr("id", "source", "size", "crc", "xxhash64(20240607, id, crc, size) AS key").collect()
+    null_first = lambda x: (x is not None, x or 0)
+    ties = lambda r: (r["key"], null_first(r["id"]), r["crc"], r["size"])
+    by_source = defaultdict(list)
+    for r in keyed:
+        by_source[r["source"]].append(r)
+    order = []
+    for s, rows in by_source.items():
+        rows.sort(key=lambda r: (int(((r["key"] % 2**64) >> 11) * 2.0**-53 * cells), ties(r)))
+        order += [((k + 0.5) / len(rows), s is None, s or "", ties(r), r) for k, r in enumerate(rows)]
+    order.sort(key=lambda x: x[:4])
+    want = Counter()
+    for pos, (*_, r) in enumerate(order):
+        shard = pos * shards // total
+        want[r["id"], r["source"], r["size"], r["crc"], shard, pos - -(-shard * total // shards)] += 1
+    got = Counter((r["id"], r["source"], r["size"], r["crc"], r["shard"], r["slot"]) for r in sharding.interleave(docs, shards=shards).collect())
+    assert got == want
