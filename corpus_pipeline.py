@@ -45,7 +45,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-ORACLE_SQL = None  # classifier, minima and packing are beyond SQL; tests hold their operators against brute force
+ORACLE_SQL = None  # classifier, minima and packing are beyond SQL; tests hold the rows of each stage against plain Python
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
