@@ -74,3 +74,45 @@ def test_pairs_fill_the_windows_of_the_reference(spark, tmp_path):
         of = [p for p in window if pr[p[0]] == r["pr"]]
         same = sum(rows[p[0]][1] == rows[p[1]][1] for p in of)
         assert (r["n"], r["same"], r["crossed"], r["zero"], r["least"], r["most"]) == (len(of), same, len(of) - same, sum(cloud(p[0]) == 0 for p in of), min(p[2] for p in of), max(p[2] for p in of))
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, tmp_path_factory):
+    """Scenes of few path/rows and days, of which some repeat on other days, and nulls."""
+    import datetime as dt
+    import random
+
+    rng = random.Random(7)
+    at = lambda d: dt.datetime(2020, 1, 1) + dt.timedelta(days=d, hours=3)
+    rows = [(i, rng.choice([1, 51, 2]), at(rng.choice([0, 1, 2, 3, 5, 6, 40, 700])), rng.choice(["view", "view", "click"])) for i in range(1, 90)]
+    rows += [(i, u, at(rng.choice([0, 3, 4, 8, 45])), k) for i, u, _, k in rows[::4] + rows[::8]]
+    rows += [(100, 3, at(d), "view") for d in (0, 2, 7)] + [(60, 4, at(0), "view"), (61, 4, at(5), "view")]
+    rows += [(None, 1, at(4), "view"), (7, None, at(4), "view"), (8, 1, None, "view")]
+    out = str(tmp_path_factory.mktemp("repeated"))
+    spark.createDataFrame([(*r, 1.0, "{}") for r in rows], "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string").write.parquet(f"{out}/events.parquet")
+    return out
+
+
+def as_oracle(spark, name, path):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{path}/events.parquet/*.parquet'")
+    rel = con.sql(plans.ORACLES[name])
+    df = plans.QUERIES[name](spark, path).select(*rel.columns)
+    want = sorted(tuple(map(plain, r)) for r in rel.fetchall())
+    assert want and sorted(tuple(map(plain, r)) for r in df.collect()) == want
+
+
+def test_window_pairs_of_repeated_scenes(spark, repeated):
+    as_oracle(spark, "window_interval_pairs", repeated)
+
+
+def test_window_pairs_of_one_day_are_made_in_many_tasks(spark, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    rows = [(i, 50, dt.datetime(2020, 1, 1), "view", 1.0, "{}") for i in range(4000)]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    n = [r["count"] for r in plans.QUERIES["window_interval_pairs"](spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
+    fits = sum(i * 7 % 100 <= 60 and i % 11 != 0 for i in range(4000))
+    assert sum(n) == fits * (fits - 1) // 2 and max(n) < 0.6 * sum(n)
