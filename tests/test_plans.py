@@ -116,3 +116,16 @@ def test_window_pairs_of_one_day_are_made_in_many_tasks(spark, tmp_path):
     n = [r["count"] for r in plans.QUERIES["window_interval_pairs"](spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
     fits = sum(i * 7 % 100 <= 60 and i % 11 != 0 for i in range(4000))
     assert sum(n) == fits * (fits - 1) // 2 and max(n) < 0.6 * sum(n)
+
+
+def test_interval_pairs_are_made_in_many_tasks(spark, repeated, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    as_oracle(spark, "interval_pairs", repeated)
+    rows = [(i, 50, dt.datetime(2020, 1, 1 + i % 2), "view", 1.0, "{}") for i in range(4000)]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    n = [r["count"] for r in plans.QUERIES["interval_pairs"](spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
+    fits = [sum(i * 7 % 100 <= 60 and i % 11 != 0 for i in range(k, 4000, 2)) for k in (0, 1)]
+    assert sum(n) == fits[0] * fits[1] and max(n) < 0.6 * sum(n)
