@@ -146,3 +146,8 @@ def test_pair_statistics_of_repeated_scenes(spark, repeated):
 def test_window_missing_pairs_are_not_joined_anew(spark, repeated):
     as_oracle(spark, "window_missing_pairs", repeated)
     assert "Anti" not in plans.QUERIES["window_missing_pairs"](spark, repeated)._jdf.queryExecution().toString()
+
+
+def test_missing_pairs_are_not_joined_anew(spark, repeated):
+    as_oracle(spark, "missing_pairs", repeated)
+    assert "Anti" not in plans.QUERIES["missing_pairs"](spark, repeated)._jdf.queryExecution().toString()
