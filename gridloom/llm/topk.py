@@ -12,9 +12,10 @@ The last round takes every ring that is left, so the result is exact.
 
 Bounds: pivots come from ``sample`` vectors (the least hashes of their ids) and serve only
 the layout; every vector is indexed.  Their number grows as the square root of the table's,
-up to ``sample / 16``.  The driver holds the pivots and one row per ring
-(``pivots * rings`` at most).  A ring is stored as blocks of about ``block`` vectors, so a
-vector that fills a third of the table is spread over many tasks.
+up to ``sample / 16``.  The driver gets the sample and one row per ring
+(``pivots * rings`` at most); blocks and scores are never broadcast.  A ring is stored as
+blocks of about ``block`` vectors, so a vector that fills a third of the table is spread
+over many tasks.
 
 Defined cases: scores are exact, and cut to the range of 64-bit integers where components
 are so large that they leave it (such scores tie); vectors that are null or hold null, NaN or infinite components, and rows
@@ -88,6 +89,25 @@ def _lift(m: np.ndarray, top: float) -> np.ndarray:
     return np.c_[x, np.sqrt(np.maximum(top - (x * x).sum(1), 0)) if np.isfinite(top) else np.zeros(len(x))]
 
 
+def sampled(vectors: DataFrame, rows: int, sample: int) -> pa.ChunkedArray:
+    """Vectors of the ``sample`` least hashes of ids.
+
+    The limit is taken on the executors and staged: collected at once, it would bring as
+    many rows of every partition to the driver.  Hashes under a bound that about twice the
+    sample meets come first; where repeated ids leave too few of them, all rows are asked.
+    """
+    key = F.xxhash64("id")
+
+    def least(df: DataFrame) -> pa.ChunkedArray:
+        return stage(df.orderBy(key, "id").limit(sample).select("v"), "sample").toArrow().column("v")
+
+    if rows > 2 * sample:
+        out = least(vectors.where(key < LONG[0] + (2 * sample << 64) // rows))
+        if len(out) == sample:
+            return out
+    return least(vectors)
+
+
 LONG = (-(1 << 63), (1 << 63) - 1)
 
 
@@ -116,7 +136,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivot
     ship(spark)
     vectors = stage(integer_vectors(rows, is_query, scale, id_col, vector_col), "vectors")
     sq = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    width, top, peak = vectors.agg(F.max(F.size("v")), F.max(sq), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    rows_in_all, width, top, peak = vectors.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(sq), F.max(F.array_max(F.transform("v", F.abs)))).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if width is None:
         return empty
@@ -127,9 +147,9 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivot
         exact = np.float64 if width * peak * peak < 1 << 52 else np.int64
     store_as = np.int32 if peak < 1 << 31 else np.float64
     if pivots is None:
-        pivots = min(max(32, math.isqrt(vectors.count()) // 4), sample // 16)
-    some = vectors.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
-    centres, edges = fit_pivots(_lift(_matrix([r["v"] for r in some], width), top), min(pivots, len(some)), rings)
+        pivots = min(max(32, math.isqrt(rows_in_all) // 4), sample // 16)
+    some = sampled(vectors, rows_in_all, sample)
+    centres, edges = fit_pivots(_lift(_matrix([v.values.to_numpy() for v in some], width), top), min(pivots, len(some)), rings)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,13 +262,13 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivot
         rows_of = asked
         if found is not None:
             tau = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("tau"))
-            rows_of = asked.join(tau, "query_id", "left")
+            rows_of = asked.join(tau.hint("merge"), "query_id", "left")
         else:
             rows_of = asked.withColumn("tau", F.lit(None).cast("long"))
         groups = rows_of.groupBy("home", "part").agg(F.collect_list(F.struct("query_id", "vec", "tau")).alias("asked")).select("asked")
         hi = None if width_of_round is None else lo + width_of_round
         pairs = groups.mapInArrow(expand(lo, hi), "pivot int, ring int, block int, ids binary, vecs binary")
-        hits = pairs.join(blocks, ["pivot", "ring", "block"]).select("ids", "vecs", "members").mapInArrow(score, "query_id long, vec_id long, score long")
+        hits = pairs.join(blocks.hint("merge"), ["pivot", "ring", "block"]).select("ids", "vecs", "members").mapInArrow(score, "query_id long, vec_id long, score long")
         if found is not None:
             hits = hits.unionByName(found.select("query_id", "vec_id", "score"))
         found = stage(best_of(hits), "hits")

@@ -114,3 +114,34 @@ def test_top_k(spark):
         want |= {(q, r, c, -s) for r, (s, c) in enumerate(best, 1)}
     assert {tuple(r) for r in topk.top_k(df2, F.col("vec_id") % 5 == 0, rings=3).collect()} == want
     assert topk.top_k(df.where("vec_id = 5"), F.lit(True)).count() == 0
+
+
+SMALL_DRIVER = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+sys.path.insert(0, sys.argv[1])
+from gridloom.llm import topk
+conf = {"spark.driver.maxResultSize": "8m", "spark.sql.files.maxPartitionBytes": "1m", "spark.sql.files.openCostInBytes": "64k", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"}
+spark = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
+for i in (F.col("id"), F.lit(7)):  # the second: one id in all rows
+    df = spark.range(0, 60000, 1, 8).select(i.cast("long").alias("vec_id"), F.array(*[F.xxhash64("id", F.lit(k)) % 1000 / 4096 for k in range(64)]).alias("embedding"))
+    got = topk.top_k(df, F.col("vec_id") == 9, k=3).collect()
+    assert len(got) == (3 if i._jc.toString() == "id" else 0), got
+"""
+
+
+def test_top_k_brings_no_rows_of_every_partition_to_the_driver():
+    """Results of 8 MB at most a job; the sample has 2 MB, the least rows of all partitions about 30."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    done = subprocess.run([sys.executable, "-c", SMALL_DRIVER, str(Path(topk.__file__).parents[2])], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_sample_of_least_hashes(spark):
+    rows = spark.range(0, 4000, 1, 16).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"))
+    want = {tuple(r["v"]) for r in rows.orderBy(F.xxhash64("id"), "id").limit(100).collect()}
+    assert {tuple(v.as_py()) for v in topk.sampled(rows, 4000, 100)} == want
+    assert len(topk.sampled(rows.withColumn("id", F.lit(7).cast("long")), 4000, 100)) == 100
