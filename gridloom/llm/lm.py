@@ -40,14 +40,15 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +60,8 @@ GROUPS = 32
 CLASSES = GROUPS * GROUPS
 OWN = CLASSES - 2 * GROUPS
 BLOCK, WIDTH, HIDDEN = 16, 16, 32
-CHUNK = 128  # blocks scored at once
+CHUNK = 256  # blocks scored at once
+BUCKETS = 4096  # ranges of word hashes, a power of two
 
 
 def word_keys(names: pa.Array) -> np.ndarray:
@@ -218,12 +220,55 @@ _SEEN = _LAG >= 0
 _FAR = np.where(_SEEN, _LAG, 0) % (2 * BLOCK)
 
 
+def _bounded(x: np.ndarray) -> np.ndarray:
+    """In place: values above 80 become 80, so that their exponentials stay finite."""
+    if x.size and x.max() > 80:
+        np.minimum(x, 80, out=x)
+    return x
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums of rows; a product is several times as fast as a sum over a short axis."""
+    return x @ np.ones(x.shape[-1], x.dtype)
+
+
+def _product(x: np.ndarray, y: np.ndarray, run: int = 256) -> np.ndarray:
+    """x.T @ y over runs of rows: faster than one product of two long, narrow arrays."""
+    m = len(x) // run * run
+    out = x[m:].T @ y[m:]
+    if m:
+        out += (x[:m].reshape(-1, run, x.shape[1]).transpose(0, 2, 1) @ y[:m].reshape(-1, run, y.shape[1])).sum(0)
+    return out
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
-    np.exp(np.minimum(x, 80, out=x), out=x)
-    x /= x.sum(-1, keepdims=True)
+    np.exp(_bounded(x), out=x)
+    x /= _sums(x)[..., None]
+    return x
+
+
+def _pull(x: np.ndarray, goal: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """In place: gradient, by the scores of each row, of the weighted negative log shares of the goals."""
+    np.exp(_bounded(x), out=x)
+    x *= (weight / _sums(x))[:, None]
+    x.reshape(-1)[np.arange(len(x)) * x.shape[1] + goal] -= weight
     return x
 
 
+def _windows(x: np.ndarray) -> np.ndarray:
+    """Rows of every block and the block before it: a view, nothing is copied."""
+    size, width = x.strides
+    return as_strided(x, (len(x) // BLOCK - 1, 2 * BLOCK, x.shape[1]), (BLOCK * size, size, width), writeable=False)
+
+
+def _turned(x: np.ndarray) -> np.ndarray:
+    """``_windows``, each transposed, with its columns' values side by side: small products
+    with a transposed right side are slow."""
+    x = np.ascontiguousarray(x.T)
+    size, width = x.strides
+    return as_strided(x, (x.shape[1] // BLOCK - 1, len(x), 2 * BLOCK), (BLOCK * width, size, width), writeable=False)
+
+
 class Network:
     def __init__(self, weights: dict[str, np.ndarray], tables: Tables):
         self.w, self.t = weights, tables
@@ -231,39 +276,44 @@ class Network:
         self.q, self.k, self.v = e @ weights["wq"] / np.float32(math.sqrt(WIDTH)), e @ weights["wk"], e @ weights["wv"]
         self.near = np.where(_SEEN, weights["far"][_FAR], np.float32(-1e9))
 
-    def forward(self, b: Blocks) -> dict[str, np.ndarray]:
+    def forward(self, b: Blocks, scaled: tuple[np.ndarray, ...] | None = None) -> dict[str, np.ndarray]:
         """Of all blocks but the first, which is context only.  What concerns members of
-        groups is in the order ``order``, by group."""
+        groups is in the order ``order``, by group.  ``a`` holds the exponentials of
+        attention's scores, ``each`` the factors that make a query's add up to one.
+        ``scaled``: the direct tables times their factors, where these are fixed."""
         w, t = self.w, self.t
-        cur, first = b.cur[1:], b.first[1:]
-        k, v = self.k[b.cur], self.v[b.cur]
-        keys, values = np.concatenate((k[:-1], k[1:]), 1), np.concatenate((v[:-1], v[1:]), 1)
-        q = self.q[cur]
-        a = q @ keys.transpose(0, 2, 1)
+        every, first = b.cur.ravel(), b.first[1:]
+        last, before, goal = every[BLOCK:], b.back[1:].ravel(), np.maximum(b.targets[1:].ravel(), 0)
+        k, v = self.k.take(every, 0), self.v.take(every, 0)
+        q = self.q.take(last, 0).reshape(-1, BLOCK, WIDTH)
+        a = q @ _turned(k)
         a += self.near
         a[first, :, :BLOCK] = -1e9  # masked: the block before belongs to another text
-        a = _softmax(a)
-        e = w["emb"][cur].reshape(-1, WIDTH)
-        h = e + (a @ values).reshape(-1, WIDTH)
-        u = h @ w["w1"] + w["b1"]
-        r = np.maximum(u, 0)
-        h2 = h + r @ w["w2"]
-        last, before, goal = cur.ravel(), b.back[1:].ravel(), np.maximum(b.targets[1:].ravel(), 0)
+        np.exp(_bounded(a), out=a)
+        each = 1 / _sums(a.reshape(-1, 2 * BLOCK))
+        e = w["emb"].take(last, 0)
+        h = (a @ _windows(v)).reshape(-1, WIDTH)
+        h *= each[:, None]
+        h += e
+        r = h @ w["w1"]
+        r += w["b1"]
+        r += np.abs(r)  # rectified: twice the positive part
+        r *= 0.5
+        h2 = r @ w["w2"]
+        h2 += h
         group = goal // GROUPS
-        g1, g2 = t.group1[last], t.group2[before]
-        lg = h2 @ w["group"]
-        lg += w["scale"][0] * g1
-        lg += w["scale"][1] * g2
         order = np.argsort(group.astype(np.int16), kind="stable")
-        group_by, hs = group[order], h2[order]
-        m1, m2 = t.member1[last[order] * GROUPS + group_by], t.member2[before[order] * GROUPS + group_by]
-        lm = w["scale"][2] * m1
-        lm += w["scale"][3] * m2
-        edges = np.searchsorted(group_by, np.arange(GROUPS + 1))
-        spans = [(i, slice(edges[i], edges[i + 1])) for i in range(GROUPS) if edges[i] < edges[i + 1]]
+        group_by, hs = group.take(order), h2.take(order, 0)
+        rows = [last, before, last.take(order) * GROUPS + group_by, before.take(order) * GROUPS + group_by]
+        direct = [x.take(at, 0) for x, at in zip(scaled or (t.group1, t.group2, t.member1, t.member2), rows)]
+        lg, lm = h2 @ w["group"], np.empty((len(hs), GROUPS), hs.dtype)
+        edges = np.searchsorted(group_by, np.arange(GROUPS + 1)).tolist()
+        spans = [(i, slice(x, y)) for i, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
         for i, s in spans:
-            lm[s] += hs[s] @ w["member"][i]
-        return {"q": q, "keys": keys, "values": values, "a": a, "e": e, "h": h, "u": u, "r": r, "h2": h2, "hs": hs, "group": group, "goal": goal, "g1": g1, "g2": g2, "m1": m1, "m2": m2, "lg": lg, "lm": lm, "order": order, "member": goal[order] % GROUPS, "spans": spans}
+            np.matmul(hs[s], w["member"][i], out=lm[s])
+        for i, (x, d) in enumerate(zip((lg, lg, lm, lm), direct)):
+            x += d if scaled else w["scale"][i] * d
+        return {"q": q, "k": k, "v": v, "a": a, "each": each, "e": e, "h": h, "r": r, "hs": hs, "group": group, "direct": direct, "lg": lg, "lm": lm, "order": order, "member": goal.take(order) % GROUPS, "spans": spans}
 
     def log_probs(self, blocks: Blocks, start_groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
         """Log probability of each target class (0 beyond a text's end), and of any class of
@@ -273,65 +323,71 @@ class Network:
         lead = Blocks(*(np.concatenate((x[:1], x)) for x in blocks))  # the first block has none before it
         for at in range(0, n, CHUNK):
             x = lead.part(at, min(at + CHUNK, n) + 1)
-            f = self.forward(x)
-            rows = np.arange(len(f["group"]))
-            lg, lm = (np.minimum(f[k], 80, out=f[k]) for k in ("lg", "lm"))
-            lp = lg[rows, f["group"]].astype(np.float64)
-            chosen = lm[rows, f["member"]].astype(np.float64)
-            chosen -= np.log(np.exp(lm, out=lm).sum(1))
+            f = self.forward(x, self.scaled)
+            lg, lm = _bounded(f["lg"]), _bounded(f["lm"])
+            cells = np.arange(len(lg)) * GROUPS
+            lp = lg.ravel().take(cells + f["group"]).astype(np.float64)
+            chosen = lm.ravel().take(cells + f["member"])
+            chosen -= np.log(_sums(np.exp(lm, out=lm)))
             lp[f["order"]] += chosen
             np.exp(lg, out=lg)
-            whole = np.log(lg.sum(1))
+            whole = np.log(_sums(lg))
             real = x.targets[1:] >= 0
             out[at : at + CHUNK] = np.where(real, (lp - whole).reshape(real.shape), 0)
-            begins[at : at + CHUNK] = (np.log(lg[:, :start_groups].sum(1)) - whole).reshape(real.shape)
+            begins[at : at + CHUNK] = (np.log(_sums(lg[:, :start_groups])) - whole).reshape(real.shape)
         return out, begins
 
+    @cached_property
+    def scaled(self) -> tuple[np.ndarray, ...]:
+        """The direct tables times their factors."""
+        return tuple(f * x for f, x in zip(self.w["scale"], (self.t.group1, self.t.group2, self.t.member1, self.t.member2)))
+
     def gradient(self, b: Blocks) -> dict[str, np.ndarray]:
         """Gradient of the mean negative log probability of all blocks but the first."""
         w = self.w
         f = self.forward(b)
-        valid = (b.targets[1:].ravel() >= 0).astype(np.float32)
-        weight = (valid / max(1, valid.sum()))[:, None]
-        rows, order = np.arange(len(valid)), f["order"]
-        dg, dm = _softmax(f["lg"]), _softmax(f["lm"])
-        dg[rows, f["group"]] -= 1
-        dm[rows, f["member"]] -= 1
-        dg *= weight
-        dm *= weight[order]
-        h, h2, hs, a = f["h"], f["h2"], f["hs"], f["a"]
-        g = {"group": h2.T @ dg, "member": np.zeros(SHAPES["member"], np.float32)}
-        g["scale"] = np.array([np.vdot(dg, f["g1"]), np.vdot(dg, f["g2"]), np.vdot(dm, f["m1"]), np.vdot(dm, f["m2"])])
-        dhs = np.empty_like(hs)
+        h, hs, a, r, order = f["h"], f["hs"], f["a"], f["r"], f["order"]
+        weight = (b.targets[1:].ravel() >= 0).astype(hs.dtype)
+        weight /= max(1, weight.sum())
+        dg, dm = _pull(f["lg"], f["group"], weight), _pull(f["lm"], f["member"], weight.take(order))
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        g = {"group": _product(hs.take(back, 0), dg), "member": np.zeros(SHAPES["member"], hs.dtype)}
+        g["scale"] = np.array([np.vdot(x, d) for x, d in zip((dg, dg, dm, dm), f["direct"])])
+        dhs, turned = np.empty_like(hs), np.ascontiguousarray(w["member"].transpose(0, 2, 1))
         for i, s in f["spans"]:
-            g["member"][i] = hs[s].T @ dm[s]
-            dhs[s] = dm[s] @ w["member"][i].T
-        dh2 = dg @ w["group"].T
-        dh2[order] += dhs
-        g["w2"] = f["r"].T @ dh2
-        du = (dh2 @ w["w2"].T) * (f["u"] > 0)
-        g["w1"], g["b1"] = h.T @ du, du.sum(0)
-        dh = dh2 + du @ w["w1"].T
-        dz = dh.reshape(-1, BLOCK, WIDTH)
-        da = dz @ f["values"].transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(-1, keepdims=True))
-        g["far"] = np.bincount(_FAR.ravel(), np.where(_SEEN, ds.sum(0), 0).ravel(), 2 * BLOCK)
-
-        def per_input(x: np.ndarray) -> np.ndarray:
-            """Sums, per input of all blocks, of what it got as context and as part of its own block."""
-            out = np.zeros((len(b.cur), BLOCK, WIDTH), x.dtype)
-            out[:-1] = x[:, :BLOCK]
-            out[1:] += x[:, BLOCK:]
-            return out.reshape(-1, WIDTH)
-
-        dv, dk = per_input(a.transpose(0, 2, 1) @ dz), per_input(ds.transpose(0, 2, 1) @ f["q"])
-        dq = (ds @ f["keys"]).reshape(-1, WIDTH) / np.float32(math.sqrt(WIDTH))
-        own = b.cur.ravel()
-        e = w["emb"][own]
-        g["wv"], g["wk"], g["wq"] = e.T @ dv, e.T @ dk, f["e"].T @ dq
-        de = dv @ w["wv"].T + dk @ w["wk"].T
-        de[BLOCK:] += dh + dq @ w["wq"].T
-        g["emb"] = np.stack([np.bincount(own, de[:, i], CLASSES) for i in range(WIDTH)], 1)
+            np.matmul(hs[s].T, dm[s], out=g["member"][i])
+            np.matmul(dm[s], turned[i], out=dhs[s])
+        dh = dg @ w["group"].T
+        dh += dhs.take(back, 0)
+        g["w2"] = _product(r, dh)
+        du = dh @ w["w2"].T
+        du *= r > 0
+        g["w1"], g["b1"] = _product(h, du), _sums(du.T)
+        dh += du @ w["w1"].T
+        dz = dh * f["each"][:, None]
+        ds = dz.reshape(-1, BLOCK, WIDTH) @ _turned(f["v"])
+        ds -= _sums((h - f["e"]) * dz).reshape(-1, BLOCK, 1)
+        ds *= a
+        g["far"] = np.bincount(_FAR.ravel(), np.where(_SEEN, _sums(ds.reshape(len(ds), -1).T).reshape(_SEEN.shape), 0).ravel(), 2 * BLOCK)
+        own, dz = b.cur.ravel(), dz.reshape(-1, BLOCK, WIDTH)
+        de = np.zeros((len(own), WIDTH), hs.dtype)
+        de[BLOCK:] = dh
+        dq = (ds @ _windows(f["k"])).reshape(-1, WIDTH)
+        dq /= np.float32(math.sqrt(WIDTH))
+        g["wq"] = _product(f["e"], dq)
+        de[BLOCK:] += dq @ w["wq"].T
+        e = w["emb"].take(own, 0)
+        for name, x, y in (("wv", a, dz), ("wk", ds, f["q"])):
+            d = np.zeros((len(b.cur), BLOCK, WIDTH), hs.dtype)
+            np.matmul(x[:, :, :BLOCK].transpose(0, 2, 1), y, out=d[:-1])  # as context
+            d[1:] += x[:, :, BLOCK:].transpose(0, 2, 1) @ y  # and in their own block
+            d = d.reshape(-1, WIDTH)
+            g[name] = _product(e, d)
+            de += d @ w[name].T
+        g["emb"] = np.zeros(SHAPES["emb"], hs.dtype)
+        pair = np.result_type(hs.dtype, np.complex64)  # two columns at a time
+        np.add.at(g["emb"].reshape(-1).view(pair), (own[:, None] * (WIDTH // 2) + np.arange(WIDTH // 2)).ravel(), de.reshape(-1).view(pair))
         return g
 
 
@@ -405,19 +461,34 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(col(docs, id_col).cast("long").alias("doc_id"), col(docs, text_col).cast("string").alias("text"))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """Staged (kind, key, n) of the training rows: words (0, hash) and documents (2, 0)."""
+def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order and the sum of ``n`` for each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+    return keys[starts], np.add.reduceat(n[order], starts) if len(keys) else n
+
+
+def _bucketed(buckets: np.ndarray, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row for every run of equal buckets, with its keys and their counts."""
+    edges = np.r_[np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]), len(buckets)] if len(buckets) else np.zeros(1, np.int64)
+    return pa.RecordBatch.from_pydict({"bucket": buckets[edges[:-1]].astype(np.int32), "keys": _binaries(keys, edges), "n": _binaries(n, edges)})
+
+
+def word_counts(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """Staged (kind, key, n) of the training rows: words (0, hash) and documents (2, 0).
+
+    Counts travel as arrays, one for each range of hashes (``BUCKETS`` of them; -1 for the
+    documents), and are added up range by range."""
     ship(docs.sparkSession)
+    shift = np.uint64(64 - BUCKETS.bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        documents = 0
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        documents = waiting = 0
 
-        def flush() -> pa.RecordBatch:
-            n = np.fromiter(counts.values(), np.int64, len(counts))
-            keys = np.fromiter(counts, np.int64, len(counts))
-            counts.clear()
-            return pa.RecordBatch.from_pydict({"kind": np.zeros(len(n), np.int32), "key": keys, "n": n})
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            return _merged(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
         for batch in batches:
             for part in pieces(batch):
@@ -426,15 +497,41 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 words = ascii_words(part.column("text"))
                 n = np.bincount(words.codes, minlength=len(words.distinct))
                 real = np.flatnonzero(n)
-                for k, m in zip(word_keys(words.distinct)[real].tolist(), n[real].tolist(), strict=True):
-                    counts[k] += m
-                if len(counts) > 400_000:
-                    yield flush()
-        yield flush()
-        yield pa.RecordBatch.from_pydict({"kind": np.array([2], np.int32), "key": np.zeros(1, np.int64), "n": np.array([documents])})
-
-    out = docs.mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    return stage(out, "lm-counts")
+                found.append((word_keys(words.distinct)[real].view(np.uint64), n[real].astype(np.int64)))
+                waiting += len(real)
+                if waiting > 2 * most:
+                    found = [merged()]
+                    waiting = len(found[0][0])
+                    if waiting > most:
+                        yield _bucketed(found[0][0] >> shift, *found[0])
+                        found, waiting = [], 0
+        if found:
+            keys, n = merged()
+            yield _bucketed(keys >> shift, keys, n)
+        yield _bucketed(np.array([-1]), np.zeros(1, np.uint64), np.array([documents]))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"kind": np.full(len(keys), kind, np.int32), "key": keys.view(np.int64), "n": n})
+
+        keys, n = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for batch in batches:
+            of_words = np.array(batch.column("bucket")) >= 0
+            for kind, rows in ((2, batch.filter(pa.array(~of_words))), (0, batch.filter(pa.array(of_words)))):
+                if not rows.num_rows:
+                    continue
+                more, times = _joined(rows.column("keys"), np.uint64)[0], _joined(rows.column("n"), np.int64)[0]
+                if kind == 2:
+                    yield table(2, more[:1], times.sum(keepdims=True))
+                    continue
+                keys, n = _merged(np.concatenate((keys, more)), np.concatenate((n, times)))
+                whole = int(np.searchsorted(keys >> shift, keys[-1] >> shift))  # the last range may go on in the next batch
+                yield table(0, keys[:whole], n[:whole])
+                keys, n = keys[whole:], n[whole:]
+        yield table(0, keys, n)
+
+    out = docs.mapInArrow(run, "bucket int, keys binary, n binary").repartition("bucket").sortWithinPartitions("bucket")
+    return stage(out.mapInArrow(summed, "kind int, key long, n long"), "lm-counts")
 
 
 def encoded(docs: DataFrame, known: pa.Table, documents: int, tokens: int, vocabulary: str) -> DataFrame:
@@ -494,8 +591,10 @@ def _joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(column.to_pylist()), kind), np.r_[0, np.cumsum(sizes)]
 
 
-def _counted(rows: DataFrame, cells: int, count) -> np.ndarray:
-    """Sum over all rows of what ``count(n, batch)`` adds to an array of ``cells``."""
+def _counted(rows: DataFrame, cells: int, count, width: int = 512) -> np.ndarray:
+    """Sum over all rows of what ``count(n, batch)`` adds to an array of ``cells``.  Counts
+    travel as arrays, one for each range of ``width`` cells; ranges are narrow, as a batch of
+    rows is bounded by their number only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(cells, np.int64)
@@ -503,11 +602,23 @@ def _counted(rows: DataFrame, cells: int, count) -> np.ndarray:
             for part in pieces(batch, "ids", size=1_000_000):
                 count(n, part)
         at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_pydict({"key": at, "n": n[at]})
+        yield _bucketed(at // width, at, n[at])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                n = sums.setdefault(r["bucket"], np.zeros(width, np.int64))
+                n[np.frombuffer(r["keys"], np.int64) - r["bucket"] * width] += np.frombuffer(r["n"], np.int64)
+        for bucket, n in sums.items():
+            at = np.flatnonzero(n)
+            yield _bucketed(np.full(len(at), bucket), at + bucket * width, n[at])
 
     out = np.zeros(cells, np.int64)
-    got = rows.select("ids").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # ``cells`` rows at most
-    out[got.column("key").to_numpy()] = got.column("n").to_numpy()
+    schema = "bucket int, keys binary, n binary"
+    got = rows.select("ids").mapInArrow(run, schema).repartition("bucket").mapInArrow(summed, schema).toArrow().combine_chunks()  # ``cells`` counts at most
+    for r in got.to_pylist():
+        out[np.frombuffer(r["keys"], np.int64)] = np.frombuffer(r["n"], np.int64)
     return out
 
 
@@ -526,11 +637,12 @@ def pair_counts(training: DataFrame, classes: Classes) -> tuple[np.ndarray, np.n
 
     def count(n: np.ndarray, part: pa.RecordBatch) -> None:
         ids, offsets = _joined(part.column("ids"), kind)
-        blocks, place = blocked(classes.of[ids], offsets, classes.end)
-        cur, back, goal = (x.ravel()[place].astype(np.int64) for x in (blocks.cur, blocks.back, blocks.targets))
-        for first, at in ((cur, 0), (back, cells)):
-            found, times = np.unique(first * CLASSES + goal, return_counts=True)
-            n[found + at] += times
+        goal = classes.of[ids]
+        first = goal
+        for at in (0, cells):
+            first = np.roll(first, 1)
+            first[offsets[:-1]] = classes.end
+            n[at : at + cells] += np.bincount(first * CLASSES + goal, minlength=cells)
 
     n = _counted(training, 2 * cells, count)
     return n[:cells], n[cells:]

@@ -1,7 +1,10 @@
 """Toxicity and language model: held-out quality, exact counts, gradients, edge cases."""
 
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -274,3 +277,77 @@ def test_held_out_words_beat_the_base_and_the_model_without_attention():
     assert mixed[known].mean() > base[known].mean() + 0.1
     assert lp.mean() > lm.Model(c, w | {"wv": 0 * w["wv"]}, tables).words(*out).mean() + 0.05
     assert lp.mean() > lm.Model(c, lm.start_weights(), tables).words(*out).mean() + 0.05
+
+
+def test_word_counts_add_up_however_often_tasks_hand_over(docs, corpus):
+    want = Counter()
+    for i, text, _ in corpus:
+        if not lm.held_out(i):
+            want.update((text or "").lower().split())
+    names = list(want)
+    keys = dict(zip(names, lm.word_keys(pa.array(names)).tolist()))
+    for most in (3, 1_000_000):
+        got = lm.word_counts(docs, most).collect()
+        words = [(r["key"], r["n"]) for r in got if r["kind"] == 0]
+        assert len(words) == len(want) and dict(words) == {keys[w]: n for w, n in want.items()}
+        assert sum(r["n"] for r in got if r["kind"] == 2) == sum(not lm.held_out(i) for i, _, _ in corpus)
+
+
+def test_counts_of_cells_add_up_over_ranges(spark):
+    rng = np.random.default_rng(6)
+    seqs = [rng.integers(0, 500, 30).astype(np.uint16) for _ in range(60)]
+    rows = spark.createDataFrame([(bytearray(s.tobytes()),) for s in seqs], "ids binary").repartition(4)
+
+    def count(n, part):
+        n += np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), np.uint16), minlength=len(n))
+
+    want = np.bincount(np.concatenate(seqs), minlength=500)
+    for width in (7, 512):
+        assert np.array_equal(lm._counted(rows, 500, count, width), want)
+    assert not lm._counted(rows.limit(0), 500, count).any()
+
+
+def test_pair_counts_against_loops(spark):
+    """Empty texts are an end alone; no pair crosses texts."""
+    rng = np.random.default_rng(9)
+    seqs = [[*rng.integers(0, 3000, n).tolist(), 3000] for n in (0, 1, 2, 40, 0, 17)]
+    rows = spark.createDataFrame([(bytearray(np.array(s, np.uint16).tobytes()),) for s in seqs], "ids binary").coalesce(2)
+    c = lm.Classes(rng.poisson(3, 3001), np.arange(3001) % 2)
+    want = Counter()
+    for s in seqs:
+        led_by = [c.end, c.end, *c.of[s].tolist()]
+        for back, last, goal in zip(led_by, led_by[1:], led_by[2:]):
+            want.update([(0, last * lm.CLASSES + goal), (1, back * lm.CLASSES + goal)])
+    got = lm.pair_counts(rows, c)
+    assert {(i, int(k)): int(x[k]) for i, x in enumerate(got) for k in np.flatnonzero(x)} == want
+
+
+COST = """
+import time
+import numpy as np
+from gridloom.llm import lm
+
+rng = np.random.default_rng(8)
+net = lm.Network(lm.start_weights(), lm.Tables(*rng.poisson(0.02, (2, lm.CLASSES**2))))
+blocks = lm.blocked(rng.integers(0, lm.CLASSES, 60_000), np.array([0, 60_000]), 5)[0]
+table, at = rng.random((lm.CLASSES, 32)).astype(np.float32), rng.integers(0, lm.CLASSES, 60_000)
+
+def least(run):
+    took = []
+    for _ in range(7):
+        start = time.process_time()
+        run()
+        took.append(time.process_time() - start)
+    return min(took)
+
+unit = least(lambda: [np.exp(table.take(at, 0)) for _ in range(20)]) / 20
+print((least(lambda: net.log_probs(blocks)) + least(lambda: [net.gradient(blocks.part(i, i + 513)) for i in range(0, 3584, 512)])) / unit)
+"""
+
+
+def test_network_takes_few_times_what_its_exponentials_take():
+    """CPU time of scoring and of a gradient of the same blocks, in units of one gathered table
+    of 32 values an id and their exponentials; sums along short axes, indexed gathers and
+    products of transposed or of long and narrow arrays would double it."""
+    done = subprocess.run([sys.executable, "-c", COST], env=os.environ | {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1", "PYTHONPATH": os.pathsep.join(sys.path)}, capture_output=True, text=True, check=True)
+    assert float(done.stdout) < 43  # 27 to 34; 56 to 60 before
