@@ -151,3 +151,22 @@ def test_window_missing_pairs_are_not_joined_anew(spark, repeated):
 def test_missing_pairs_are_not_joined_anew(spark, repeated):
     as_oracle(spark, "missing_pairs", repeated)
     assert "Anti" not in plans.QUERIES["missing_pairs"](spark, repeated)._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["interval_pairs"])
+def test_what_is_shuffled_does_not_grow_with_pairs(spark, tmp_path, name):
+    """Twice the scenes of a path/row make four times the pairs."""
+    sc = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    n, took = [], []
+    for rows in (20000, 40000):
+        path = str(tmp_path / str(rows))
+        spark.range(rows).selectExpr("id as event_id", "50L as user_id", "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(int(id % 2)) as ts", "'view' as event_type", "1.0D as value", "'{}' as props").write.parquet(f"{path}/events.parquet")
+        before = shuffled()
+        n.append(plans.QUERIES[name](spark, path).count())
+        took.append(shuffled() - before)
+    assert n[1] > 3.9 * n[0] and 0 < took[1] < 3 * took[0], took
