@@ -153,7 +153,7 @@ def test_missing_pairs_are_not_joined_anew(spark, repeated):
     assert "Anti" not in plans.QUERIES["missing_pairs"](spark, repeated)._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("name", ["interval_pairs", "window_interval_pairs"])
+@pytest.mark.parametrize("name", ["interval_pairs", "window_interval_pairs", "window_missing_pairs"])
 def test_what_is_shuffled_does_not_grow_with_pairs(spark, tmp_path, name):
     """Twice the scenes of a path/row make four times the pairs."""
     sc = spark.sparkContext._jsc.sc()
